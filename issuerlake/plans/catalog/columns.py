@@ -110,15 +110,15 @@ def _(t):
 
 
 @query("unit_prices", """
-select l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') as day, round(l_extendedprice / l_quantity, 4) as price,
-  case when l_discount = 0 then null else round(l_discount / l_quantity, 6) end as rate_price
+select l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') as day, l_extendedprice / l_quantity as price,
+  case when l_discount = 0 then null else l_discount / l_quantity end as rate_price
 from lineitem
 """)
 def _(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"),
-        F.round(C.unit_price("l_extendedprice", "l_quantity"), 4).alias("price"),
-        F.round(C.unit_price("l_discount", "l_quantity"), 6).alias("rate_price"),
+        C.unit_price("l_extendedprice", "l_quantity").alias("price"),
+        C.unit_price("l_discount", "l_quantity").alias("rate_price"),
     )
 
 

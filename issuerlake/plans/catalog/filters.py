@@ -92,11 +92,11 @@ def _(t):
 
 
 @query("rows_by_key", """
-select o_orderkey, o_totalprice from orders where o_orderpriority = '1-URGENT' and o_custkey = 899
+select o_orderkey, o_totalprice from orders where o_orderpriority = '1-URGENT' and o_custkey = 12
 """)
 def _(t):
     urgent = X.by_key(t.orders, "o_orderpriority", " 1-urgent ", kind="ticker")
-    return X.by_key(urgent, "o_custkey", "8-99", kind="cnpj").select("o_orderkey", "o_totalprice")
+    return X.by_key(urgent, "o_custkey", "1-2", kind="cnpj").select("o_orderkey", "o_totalprice")
 
 
 @query("financial_names", """

@@ -90,7 +90,7 @@ def _long_sql(flag: str, kind: str, keep: str = "true") -> str:
 
 
 _BASE_KIND = "case when data_ref = '1997' then '' else 'DFP' end"
-_SPARSE = "valor > 60000"
+_SPARSE = "valor > 60000 and data_ref <> '1998'"
 _NEW_KEEP = "data_ref <> '1996'"
 
 

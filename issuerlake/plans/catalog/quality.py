@@ -96,9 +96,9 @@ def _(t):
     return X.orphans(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), parents, ["l_orderkey"])
 
 
-@query("broken_references", "select l_suppkey, count(*) as n from lineitem where l_suppkey not in (select s_suppkey from supplier where s_acctbal > 0) group by 1")
+@query("broken_references", "select l_suppkey, count(*) as n from lineitem where l_suppkey not in (select s_suppkey from supplier where s_acctbal > 5000) group by 1")
 def _(t):
-    parents = t.supplier.where("s_acctbal > 0").select(F.col("s_suppkey").alias("l_suppkey"))
+    parents = t.supplier.where("s_acctbal > 5000").select(F.col("s_suppkey").alias("l_suppkey"))
     return X.broken_references(t.lineitem, parents, ["l_suppkey"])
 
 
