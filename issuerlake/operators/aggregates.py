@@ -35,8 +35,8 @@ def distinct_set(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def distinct_domain(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
-    """AGG-3: sorted array of the values of an enum column per key; partial sets merge before the shuffle."""
-    return df.groupBy(key).agg(F.array_sort(F.collect_set(col)).alias(name))
+    """AGG-3: sorted array of the values of an enum column per key, collected from distinct pairs."""
+    return df.select(key, col).distinct().groupBy(key).agg(F.array_sort(F.collect_list(col)).alias(name))
 
 
 def nest_statements(df: DataFrame, order: Order | None = None) -> DataFrame:
@@ -54,7 +54,8 @@ def nest_statements(df: DataFrame, order: Order | None = None) -> DataFrame:
         & (F.coalesce(strip("cd_conta"), F.lit("")) != "")
     ).withColumn("cd_conta", strip("cd_conta"))
     if order is None:
-        labels = rows.groupBy("cnpj", "data_ref").agg(F.max("tipo_doc").alias("tipo"))
+        kinds = rows.select("cnpj", "data_ref", "tipo_doc").distinct()
+        labels = kinds.groupBy("cnpj", "data_ref").agg(F.max("tipo_doc").alias("tipo"))
         last = ["tipo_doc"]
     else:
         labels = rows.groupBy("cnpj", "data_ref").agg(F.min_by("tipo_doc", F.struct(*order)).alias("tipo"))

@@ -57,10 +57,11 @@ def _collapse(lines: Column) -> Column:
 def sanitize_text(df: DataFrame, col: str = "text", removed: str = "removed_lines") -> DataFrame:
     """TXT-4: extracted text without noise lines, trailing runs and repeated blank lines."""
     kept = df.withColumn("_lines", F.transform(split_lines(col), strip_runs))
+    clean = kept.withColumn("_clean", F.filter("_lines", lambda x: ~is_noise(x)))
     return (
-        kept.withColumn(removed, F.size(F.filter("_lines", is_noise)))
-        .withColumn(col, _collapse(F.filter("_lines", lambda x: ~is_noise(x))))
-        .drop("_lines")
+        clean.withColumn(removed, F.size("_lines") - F.size("_clean"))
+        .withColumn(col, _collapse(F.col("_clean")))
+        .drop("_lines", "_clean")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import blank_to_null, date10, digits, norm_code, parse_decimal, parse_int, parse_money, strip
@@ -40,12 +40,9 @@ def _statement(c: Column) -> Column:
     return out
 
 
-def statement_accounts(rows: DataFrame, depth: int = 3, order: Sequence[str] = FILE_ORDER) -> DataFrame:
-    """MRG-1: accounts of raw statement rows: depth, current period and numeric value only.
-
-    Of repeated accounts in one source and period the last row in the files wins.
-    """
-    kept = current_period_only(max_level(rows, depth)).select(
+def account_rows(rows: DataFrame, depth: int = 3, order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """MRG-1: cleaned rows of statement files: depth, current period and numeric value only."""
+    return current_period_only(max_level(rows, depth)).select(
         norm_code("CD_CVM").alias("cod_cvm"),
         F.upper("doc_type").alias("doc_type"),
         F.col("year").cast("int").alias("year"),
@@ -56,52 +53,81 @@ def statement_accounts(rows: DataFrame, depth: int = 3, order: Sequence[str] = F
         parse_money("VL_CONTA").alias("valor"),
         *order,
     ).where(F.col("valor").isNotNull())
-    key = ["cod_cvm", "doc_type", "year", "table", "data_ref", "cd_conta"]
-    return dedupe(kept, key, list(order), keep="last").drop(*order)
 
 
-def _consolidate(accounts: DataFrame, turn: Column, label_of_last: bool, keys: Sequence[str]) -> DataFrame:
+SOURCE_ACCOUNT = ["cod_cvm", "doc_type", "year", "table", "data_ref", "cd_conta"]
+
+
+def statement_accounts(rows: DataFrame, depth: int = 3, order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """MRG-1: accounts of each source and period; of repeated ones the last row in the files wins."""
+    return dedupe(account_rows(rows, depth, order), SOURCE_ACCOUNT, list(order), keep="last").drop(*order)
+
+
+def _turn_v2() -> Column:
+    table = _code_of({name: i for i, name in enumerate(TABLE_ORDER)}, F.col("table"))
+    document = _code_of({"ITR": 0, "DFP": 1}, F.upper("doc_type"))
+    return (F.lit(9999) - F.col("year")) * 100 + document * 10 + table
+
+
+def _turn_v1() -> Column:
+    table = _code_of({name: i for i, name in enumerate(sorted(TABLE_ORDER))}, F.col("table"))
+    document = _code_of({"DFP": 0, "ITR": 1}, F.upper("doc_type"))
+    return document * 1_000_000 + table * 100_000 + F.col("year")
+
+
+def _consolidate(
+    accounts: DataFrame, turn: Column, label_of_last: bool, keys: Sequence[str], sources: DataFrame | None
+) -> DataFrame:
     """Whole statements by turn: the last source stays, for cash flow the first one.
 
-    Sources are ranked by aggregates over (issuer, period, statement), which
-    shrink in the map tasks; the accounts then meet the one winning source.
+    ``rank() = 1`` keeps every account of the winning source; it is cut down in
+    the map tasks, so losing sources are not shuffled. Labels come from an
+    aggregate over source columns alone.
     """
     keys = list(keys)
-    rows = accounts.withColumn("demonstracao", _statement(F.col("table"))).withColumn("_turn", turn)
-    rows = rows.where(F.col("demonstracao").isNotNull() & F.col("_turn").isNotNull())
-    turns = rows.groupBy(*keys, "demonstracao").agg(F.min("_turn").alias("_first"), F.max("_turn").alias("_last"))
-    winners = turns.select(
-        *keys, "demonstracao",
-        F.when(F.col("demonstracao") == FIRST_STAYS, F.col("_first")).otherwise(F.col("_last")).alias("_turn"),
-    )
+
+    def turned(df: DataFrame) -> DataFrame:
+        out = df.withColumn("demonstracao", _statement(F.col("table"))).withColumn("_turn", turn)
+        return out.where(F.col("demonstracao").isNotNull() & F.col("_turn").isNotNull())
+
+    preferred = F.when(F.col("demonstracao") == FIRST_STAYS, F.col("_turn")).otherwise(-F.col("_turn"))
+    place = F.rank().over(Window.partitionBy(*keys, "demonstracao").orderBy(preferred))
+    winners = turned(accounts).withColumn("_place", place).where("_place = 1")
     pick = F.max_by if label_of_last else F.min_by
-    kinds = rows.groupBy(*keys).agg(pick("doc_type", "_turn").alias("tipo_doc"))
-    return (
-        rows.join(winners, [*keys, "demonstracao", "_turn"])
-        .join(kinds, keys)
-        .select(*keys, "tipo_doc", "demonstracao", "cd_conta", "ds_conta", "valor",
-                F.col("doc_type").alias("source_doc"), F.col("table").alias("source_table"), F.col("year").alias("source_year"))
+    seen = turned(sources if sources is not None else accounts).select(*keys, "doc_type", "_turn").distinct()
+    kinds = seen.groupBy(*keys).agg(pick("doc_type", "_turn").alias("tipo_doc"))
+    return winners.join(kinds, keys).select(
+        *keys, "tipo_doc", "demonstracao", "cd_conta", "ds_conta", "valor",
+        F.col("doc_type").alias("source_doc"), F.col("table").alias("source_table"), F.col("year").alias("source_year"),
     )
 
 
-def consolidate_v2(accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref")) -> DataFrame:
+def consolidate_v2(
+    accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref"), sources: DataFrame | None = None
+) -> DataFrame:
     """MRG-2: years down, ITR before DFP, tables in list order.
 
     A later source replaces a whole statement; the first cash-flow statement
-    stays; the first source labels the period.
+    stays; the first source labels the period. ``sources`` may be the rows the
+    accounts were cut from: labels then need no de-duplication.
     """
-    table = _code_of({name: i for i, name in enumerate(TABLE_ORDER)}, F.col("table"))
-    document = _code_of({"ITR": 0, "DFP": 1}, F.upper("doc_type"))
-    turn = (F.lit(9999) - F.col("year")) * 100 + document * 10 + table
-    return _consolidate(accounts, turn, label_of_last=False, keys=keys)
+    return _consolidate(accounts, _turn_v2(), False, keys, sources)
 
 
-def consolidate_v1(accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref")) -> DataFrame:
+def consolidate_v1(
+    accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref"), sources: DataFrame | None = None
+) -> DataFrame:
     """MRG-3: DFP before ITR, tables by name, years up; the last source labels the period."""
-    table = _code_of({name: i for i, name in enumerate(sorted(TABLE_ORDER))}, F.col("table"))
-    document = _code_of({"DFP": 0, "ITR": 1}, F.upper("doc_type"))
-    turn = document * 1_000_000 + table * 100_000 + F.col("year")
-    return _consolidate(accounts, turn, label_of_last=True, keys=keys)
+    return _consolidate(accounts, _turn_v1(), True, keys, sources)
+
+
+def consolidate_rows(
+    rows: DataFrame, generation: int = 2, depth: int | None = None, order: Sequence[str] = FILE_ORDER
+) -> DataFrame:
+    """MRG-1 and MRG-2 (generation 2) or MRG-3 (generation 1) in one plan over raw statement rows."""
+    consolidate, default_depth = {1: (consolidate_v1, 2), 2: (consolidate_v2, 3)}[generation]
+    depth = depth or default_depth
+    return consolidate(statement_accounts(rows, depth, order), sources=account_rows(rows, depth, order))
 
 
 def override_periods(base: DataFrame, manual: DataFrame, keys: Sequence[str] = ("cnpj", "data_ref")) -> DataFrame:
@@ -202,27 +228,27 @@ def merge_fill(base: DataFrame, new: DataFrame, level: str = "account") -> DataF
 
     ``account`` adds missing accounts; ``statement`` adds only statements that are
     missing as a whole. An existing period keeps its document type, and takes the
-    new one where it has none (at account level).
+    new one where it has none (at account level). Both sides are stacked and
+    ranked: a row of ``new`` stands where no row of ``base`` ranks before it.
     """
     keys = {"account": ACCOUNT_KEY, "statement": ACCOUNT_KEY[:3]}[level]
     period = ACCOUNT_KEY[:2]
-    added = new.join(base.select(*keys).distinct(), keys, "left_anti")
-
-    def labels(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*period).agg(F.max(F.nullif("tipo_doc", F.lit(""))).alias(name), F.lit(True).alias(f"{name}_known"))
-
-    base_labels, new_labels = labels(base, "_base"), labels(new, "_new")
+    both = base.withColumn("_side", F.lit(0)).unionByName(new.withColumn("_side", F.lit(1)))
+    place = F.rank().over(Window.partitionBy(*keys).orderBy("_side"))
+    kept = both.withColumn("_place", place).where("_place = 1")
+
+    given = F.nullif("tipo_doc", F.lit(""))
+    kinds = both.select(*period, "_side", "tipo_doc").distinct().groupBy(*period).agg(
+        F.max(F.when(F.col("_side") == 0, given)).alias("_base"),
+        F.max(F.when(F.col("_side") == 1, given)).alias("_new"),
+        F.min("_side").alias("_first"),
+    )
+    mine, in_base = F.col("_side") == 0, F.col("_first") == 0
     if level == "account":
-        base = (
-            base.join(new_labels, period, "left")
-            .withColumn("tipo_doc", F.coalesce(F.nullif("tipo_doc", F.lit("")), F.col("_new"), F.col("tipo_doc")))
-            .drop("_new", "_new_known")
-        )
-        label = F.coalesce("_base", "tipo_doc")
+        label = F.when(mine, F.coalesce(given, "_new", "tipo_doc")).otherwise(F.coalesce("_base", "tipo_doc"))
     else:
-        label = F.when(F.col("_base_known"), F.col("_base")).otherwise(F.col("tipo_doc"))
-    added = added.join(base_labels, period, "left").withColumn("tipo_doc", label).drop("_base", "_base_known")
-    return base.unionByName(added)
+        label = F.when(~mine & in_base, F.col("_base")).otherwise(F.col("tipo_doc"))
+    return kept.join(kinds, period).withColumn("tipo_doc", label).select(*base.columns)
 
 
 def new_period_count(base: DataFrame, new: DataFrame, keys: Sequence[str] = ("cnpj", "data_ref")) -> DataFrame:

@@ -47,8 +47,9 @@ def balance_check(df: DataFrame, tolerance: float = 0.001, keys: Sequence[str] =
 def year_gaps(df: DataFrame, key: str, date: str) -> DataFrame:
     """AGG-7: years without a period between the first and last one, as a sorted array."""
     year = F.year(F.to_date(date))
-    years = df.where(year.isNotNull()).groupBy(key).agg(
-        F.min(year).alias("first_year"), F.max(year).alias("last_year"), F.collect_set(year).alias("_years")
+    pairs = df.select(key, year.alias("_year")).where("_year is not null").distinct()
+    years = pairs.groupBy(key).agg(
+        F.min("_year").alias("first_year"), F.max("_year").alias("last_year"), F.collect_list("_year").alias("_years")
     )
     span = F.sequence("first_year", "last_year")
     return years.withColumn("gaps", F.array_sort(F.array_except(span, "_years"))).drop("_years")
@@ -67,10 +68,11 @@ def coverage_report(df: DataFrame, key: str = "cnpj", period: str = "data_ref")
 
 def period_report(df: DataFrame, keys: Sequence[str] = ("cnpj", "data_ref")) -> DataFrame:
     """AGG-8: per issuer and period, document type, sorted statement list and account count."""
-    return df.groupBy(*keys).agg(
+    counted = df.groupBy(*keys, "tipo_doc", "demonstracao").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.groupBy(*keys).agg(
         F.max("tipo_doc").alias("tipo_doc"),
         F.array_sort(F.collect_set("demonstracao")).alias("demonstracoes"),
-        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("_n").alias("n_rows"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from issuerlake.functions.cleaning import digits, norm_code
 from issuerlake.operators.aggregates import unnest_statements
 from issuerlake.operators.filters import keep_codes
-from issuerlake.operators.merges import consolidate_history, consolidate_v1, consolidate_v2, override_periods, statement_accounts
+from issuerlake.operators.merges import consolidate_history, consolidate_rows, override_periods
 from issuerlake.operators.quality import balance_check, validation_totals
 from issuerlake.sources import dossier, market, statements
 
@@ -19,10 +19,9 @@ def issuer_statements(
     spark: SparkSession, path: str, issuers: DataFrame, generation: int = 2, landed: bool = False, depth: int | None = None
 ) -> DataFrame:
     """Statement files to consolidated long rows of the monitored issuers."""
-    consolidate, default_depth = {1: (consolidate_v1, 2), 2: (consolidate_v2, 3)}[generation]
     codes = issuers.select(digits("cnpj").alias("cnpj"), norm_code("cod_cvm").alias("cod_cvm")).where("cod_cvm <> ''")
     rows = keep_codes(statements.read_statements(spark, path, landed), codes)
-    merged = consolidate(statement_accounts(rows, depth or default_depth))
+    merged = consolidate_rows(rows, generation, depth)
     return merged.join(codes.distinct(), "cod_cvm").select(*STATEMENT_COLUMNS)
 
 

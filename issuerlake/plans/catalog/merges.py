@@ -66,14 +66,14 @@ from ranked r join labels l on l.cod_cvm = r.cod_cvm and l.data_ref = r.data_ref
     "(9999 - yr) * 100 + case doc_type when 'ITR' then 0 else 10 end + list_position(['BPA', 'BPP', 'DRE', 'DFC_MD', 'DFC_MI', 'DVA'], tbl)", "min"
 ))
 def _(t):
-    return X.consolidate_v2(accounts(t))
+    return X.consolidate_rows(raw_rows(t), 2, 3, _ROW_ORDER)
 
 
 @query("consolidated_v1", _consolidated_sql(
     "case doc_type when 'DFP' then 0 else 1000000 end + list_position(['BPA', 'BPP', 'DFC_MD', 'DFC_MI', 'DRE', 'DVA'], tbl) * 100000 + yr", "max"
 ))
 def _(t):
-    return X.consolidate_v1(accounts(t))
+    return X.consolidate_rows(raw_rows(t), 1, 3, _ROW_ORDER)
 
 
 def _long(t, flag: str, kind):
