@@ -14,8 +14,10 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# How a plain decimal number may be written.
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))$"
+# How infinity is written. A cast also reads type suffixes and
+# hexadecimal, which are no plain numbers and are told by these letters.
+_INFINITY = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+_SUFFIX_OR_HEX = "[dDfFxX]"
 
 # The two ways a remuneration text names its indexer and rate.
 _SPREAD_OVER_INDEX = r"([\p{L}\p{N}_]+)\s*\+\s*([0-9.,]+)%"
@@ -60,17 +62,20 @@ def digits(c: ColumnOrName, pad: int | None = None, cut: int | None = None) -> C
 def norm_code(c: ColumnOrName) -> Column:
     """PRJ-2: registry code without surrounding blanks or leading zeros."""
     code = strip(c)
-    return F.when(code.rlike("^[0-9]+$"), F.regexp_replace(code, "^0+(?=.)", "")).otherwise(code)
+    bare = F.coalesce(F.nullif(F.ltrim(code, F.lit("0")), F.lit("")), F.lit("0"))
+    return F.when(as_column(c).rlike(r"^[\s\p{Z}]*[0-9]+[\s\p{Z}]*$"), bare).otherwise(code)
 
 
 def account_level(c: ColumnOrName) -> Column:
     """PRJ-3: depth of an account code, one per dot-separated segment."""
-    return F.size(F.split(strip(c), r"\."))
+    code = as_column(c)
+    return F.length(code) - F.length(F.replace(code, F.lit("."), F.lit(""))) + 1
 
 
 def _number(c: Column) -> Column:
     text = strip(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    plain = ~c.rlike(_SUFFIX_OR_HEX) | F.lower(text).isin(_INFINITY)
+    return F.when(plain, text.try_cast("double"))
 
 
 def parse_money(c: ColumnOrName, style: str = "br") -> Column:

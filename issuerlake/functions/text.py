@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import ColumnOrName, as_column, rstrip, strip
 
-# Everything that ends a line.
+# Everything that ends a line, and the marks other than a line feed.
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+_OTHER_BREAKS = ["\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
 
 # File-name parts of documents without financial statements.
 NON_FINANCIAL_NAME_PARTS = [
@@ -53,7 +54,12 @@ def contains_any(c: ColumnOrName, parts: list[str]) -> Column:
 
 
 def split_lines(c: ColumnOrName) -> Column:
-    return F.split(as_column(c), LINE_BREAK)
+    """Lines of a text. Most texts know only the line feed and are split without a pattern."""
+    text = as_column(c)
+    other = F.lit(False)
+    for mark in _OTHER_BREAKS:
+        other = other | text.contains(mark)
+    return F.split(F.when(other, F.regexp_replace(text, LINE_BREAK, "\n")).otherwise(text), "\n")
 
 
 def mostly_punct(c: ColumnOrName) -> Column:
@@ -65,8 +71,12 @@ def mostly_punct(c: ColumnOrName) -> Column:
 
 def strip_runs(c: ColumnOrName) -> Column:
     """TXT-2: a line without its trailing run of dots or dashes."""
-    line = rstrip(F.regexp_replace(as_column(c), r"\.{8,}.*$", ""))
-    return rstrip(F.regexp_replace(line, r"-{8,}.*$", ""))
+
+    def cut(line: Column, mark: str) -> Column:
+        at = F.instr(line, mark * 8)
+        return rstrip(F.when(at > 0, F.substring(line, F.lit(1), at - 1)).otherwise(line))
+
+    return cut(cut(as_column(c), "."), "-")
 
 
 def is_noise(c: ColumnOrName) -> Column:

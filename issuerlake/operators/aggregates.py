@@ -51,7 +51,7 @@ def nest_statements(df: DataFrame, order: Order | None = None) -> DataFrame:
         F.col("data_ref").isNotNull()
         & (F.coalesce(F.col("tipo_doc"), F.lit("")) != "")
         & (F.coalesce(F.col("demonstracao"), F.lit("")) != "")
-        & (F.coalesce(strip("cd_conta"), F.lit("")) != "")
+        & (strip("cd_conta") != "")
     ).withColumn("cd_conta", strip("cd_conta"))
     if order is None:
         kinds = rows.select("cnpj", "data_ref", "tipo_doc").distinct()

@@ -181,14 +181,16 @@ def assemble_markdown(
     is not put together in one task; parts in order, joined by a line break, are
     the body.
     """
-    blocks = sanitize_markdown(df.withColumn(markdown, strip(markdown)), markdown).where(F.col(markdown) != "")
+    blocks = sanitize_markdown(df.withColumn(markdown, strip(markdown)), markdown)
     block = F.concat(F.lit("# "), F.col(name), F.lit("\n\n"), F.col(markdown))
     part = F.floor(F.col(position) / blocks_per_part).cast("long").alias("part")
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), block.alias("t"))))
+    # Empty documents drop out while they are collected: a filter would clean every text twice.
+    filled = F.col(markdown) != ""
+    ordered = F.array_sort(F.collect_list(F.when(filled, F.struct(F.col(position).alias("p"), block.alias("t")))))
     return blocks.groupBy(key, part).agg(
-        F.count(F.lit(1)).alias("n_documents"),
+        F.count_if(filled).alias("n_documents"),
         F.array_join(F.transform(ordered, lambda x: x["t"]), "\n").alias("body"),
-    )
+    ).where("n_documents > 0")
 
 
 def _unquote(c: Column) -> Column:
@@ -414,7 +416,8 @@ def normalize_link_docs(
     id. The year comes from its own field or the start of a date; unknown years stay.
     ``base`` is put before relative URLs.
     """
-    d = docs.withColumn("_d", F.from_json(col, LINK_DOCUMENT))
+    # Generated, so that the filters below do not parse the document once per field they look at.
+    d = docs.select("*", F.explode(F.array(F.from_json(col, LINK_DOCUMENT))).alias("_d"))
 
     def filled(c: Column) -> Column:
         return F.when(strip(c) != "", c)

@@ -26,18 +26,13 @@ FILE_ORDER = ["file_path", "block_start", "row_id"]
 ACCOUNT_KEY = ["cnpj", "data_ref", "demonstracao", "cd_conta"]
 
 
-def _code_of(table: dict[str, int], c: Column) -> Column:
-    out = F.lit(None).cast("int")
-    for name, code in table.items():
-        out = F.when(c == name, code).otherwise(out)
-    return out
+def _look_up(table: dict, c: Column) -> Column:
+    """The value of a key in a constant map; the key is computed once."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), c)
 
 
 def _statement(c: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for table, statement in STATEMENT_OF_TABLE.items():
-        out = F.when(c == table, statement).otherwise(out)
-    return out
+    return _look_up(STATEMENT_OF_TABLE, c)
 
 
 def account_rows(rows: DataFrame, depth: int = 3, order: Sequence[str] = FILE_ORDER) -> DataFrame:
@@ -64,14 +59,14 @@ def statement_accounts(rows: DataFrame, depth: int = 3, order: Sequence[str] = F
 
 
 def _turn_v2() -> Column:
-    table = _code_of({name: i for i, name in enumerate(TABLE_ORDER)}, F.col("table"))
-    document = _code_of({"ITR": 0, "DFP": 1}, F.upper("doc_type"))
+    table = _look_up({name: i for i, name in enumerate(TABLE_ORDER)}, F.col("table"))
+    document = _look_up({"ITR": 0, "DFP": 1}, F.upper("doc_type"))
     return (F.lit(9999) - F.col("year")) * 100 + document * 10 + table
 
 
 def _turn_v1() -> Column:
-    table = _code_of({name: i for i, name in enumerate(sorted(TABLE_ORDER))}, F.col("table"))
-    document = _code_of({"DFP": 0, "ITR": 1}, F.upper("doc_type"))
+    table = _look_up({name: i for i, name in enumerate(sorted(TABLE_ORDER))}, F.col("table"))
+    document = _look_up({"DFP": 0, "ITR": 1}, F.upper("doc_type"))
     return document * 1_000_000 + table * 100_000 + F.col("year")
 
 

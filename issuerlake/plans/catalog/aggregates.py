@@ -42,7 +42,7 @@ LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disc
 
 def statement_lines(t):
     """Lines as statements: order = issuer, ship year = period, line number = account."""
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         F.col("l_orderkey").alias("cnpj"), F.year("l_shipdate").cast("string").alias("data_ref"),
         F.when(F.col("l_linestatus") == "O", "DFP").otherwise("ITR").alias("tipo_doc"),
         F.col("l_returnflag").alias("demonstracao"), F.col("l_linenumber").cast("string").alias("cd_conta"),

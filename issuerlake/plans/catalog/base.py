@@ -25,6 +25,14 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for work that is heavy per row, spread over the cores where it has fewer files than there are.
+
+        At scale a table has many files and is read as it lies, without a shuffle.
+        """
+        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
 
 @dataclass(frozen=True)
 class Query:

@@ -15,7 +15,7 @@ def raw_rows(t):
     """Lines as rows of statement files: supplier = issuer, line status = document type, line number = table."""
     tables = F.array(*[F.lit(x) for x in ("BPA", "BPP", "DRE", "DFC_MD", "DFC_MI", "DVA", "BPA")])
     code = F.concat(F.lit("1."), F.round(F.col("l_discount") * 100).cast("int").cast("string"))
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         F.lpad(F.col("l_suppkey").cast("string"), 6, "0").alias("CD_CVM"),
         F.when(F.col("l_linestatus") == "O", "dfp").otherwise("itr").alias("doc_type"),
         F.year("l_shipdate").alias("year"), F.element_at(tables, F.col("l_linenumber")).alias("table"),

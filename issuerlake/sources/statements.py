@@ -66,14 +66,13 @@ def read_statements(spark: SparkSession, path: str, landed: bool = False) -> Dat
         raise FileNotFoundError(f"no statement files under {path}")
     options = {"header": True, "enforceSchema": False} if landed else LATIN
     pattern = "(?i)" + (_LANDED if landed else _PUBLISHED)
-    doc, table, scope, year = (1, 3, 4, 2) if landed else (1, 2, 3, 4)
+    scope, year = (4, 2) if landed else (3, 4)
     name = F.col("_metadata.file_path")
     out = None
-    for files in by_table.values():
+    for (doc, table), files in by_table.items():
         rows = spark.read.options(**options).csv(files).select(
             *COLUMNS,
-            F.upper(F.regexp_extract(name, pattern, doc)).alias("doc_type"),
-            F.upper(F.regexp_extract(name, pattern, table)).alias("table"),
+            F.lit(doc).alias("doc_type"), F.lit(table).alias("table"),
             F.lower(F.regexp_extract(name, pattern, scope)).alias("scope"),
             F.regexp_extract(name, pattern, year).cast("int").alias("year"),
             *file_position(),
