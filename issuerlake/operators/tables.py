@@ -39,7 +39,8 @@ def upsert(
     every inserted or updated row, changed or not.
     """
     keys = list(keys)
-    given = [c for c in (columns or updates.columns) if c in updates.columns and c not in keys]
+    named = updates.columns if columns is None else columns
+    given = [c for c in named if c in updates.columns and c not in keys]
     final = last_update_wins(updates, keys, order).select(*keys, *given, F.lit(True).alias("_given"))
     joined = target.alias("t").join(final.alias("u"), null_safe("t", "u", keys), "full_outer")
     matched = F.coalesce(F.col("u._given"), F.lit(False))

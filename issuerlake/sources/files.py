@@ -13,7 +13,10 @@ PDF_MAGIC = "25504446"
 
 
 def list_documents(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
-    """SRC-12: documents below a folder with name, size, content and content hash, by path."""
+    """SRC-12: documents below a folder with name, size, content and content hash, by path.
+
+    Spark's file sources pass over empty files, so those never show up here.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return files.select(
         "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("nome_arquivo"), F.col("length").alias("size"),
