@@ -145,7 +145,7 @@ def discover_issuers(characteristics: DataFrame, issuers: DataFrame) -> DataFram
         F.lit("Fechado").alias("tipo_capital"),
         F.lit("").alias("ticker_acao"),
         F.lit("").alias("categoria"),
-        F.lit("Descoberto via características").alias("observacao"),
+        F.lit("Descoberto via ANBIMA").alias("observacao"),
     )
 
 

@@ -18,7 +18,11 @@ from issuerlake.operators.windows import dedupe
 
 def last_update_wins(updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key; without an order the greatest row in all its columns, so that reruns agree."""
-    rest = [c for c in updates.columns if c not in keys and c not in order]
+    unordered = ("map", "variant")
+    rest = [
+        f.name for f in updates.schema
+        if f.name not in keys and f.name not in order and f.dataType.typeName() not in unordered
+    ]
     ties = [F.col(c).desc_nulls_last() for c in [*order, *rest]] or [up(keys[0])]
     return dedupe(updates, keys, ties)
 

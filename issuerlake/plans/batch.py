@@ -10,6 +10,7 @@ from issuerlake.operators.aggregates import unnest_statements
 from issuerlake.operators.filters import keep_codes
 from issuerlake.operators.merges import consolidate_history, consolidate_rows, override_periods
 from issuerlake.operators.quality import balance_check, validation_totals
+from issuerlake.operators.tables import write_partitioned
 from issuerlake.sources import dossier, market, statements
 
 STATEMENT_COLUMNS = ["cnpj", "data_ref", "tipo_doc", "demonstracao", "cd_conta", "ds_conta", "valor"]
@@ -47,3 +48,8 @@ def market_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
             "data_referencia", F.try_to_date("data_referencia", "yyyy-MM-dd")
         ),
     }
+
+
+def compact_payloads(spark: SparkSession, path: str, out: str) -> None:
+    """SNK-8: the raw price payloads of every instrument as one history folder each. Inputs stay where they are."""
+    write_partitioned(consolidate_history(**market.read_prices(spark, path)), out, ["ticker_deb"])

@@ -32,14 +32,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, or a fresh local one when none is set.
 
     ``spark.checkpoint.dir`` names shared storage on a cluster, so a lost
-    executor can be replaced without recomputing. The local fallback is for
-    single-machine tests only.
+    executor can be replaced without recomputing. A folder of this machine is
+    only ever used by a local session.
     """
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not configured and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = configured or tempfile.mkdtemp(prefix="issuerlake-checkpoint-")
     context.setCheckpointDir(folder)
     return folder

@@ -12,16 +12,18 @@ MAX_BYTES = 40 * 1024 * 1024
 PDF_MAGIC = "25504446"
 
 
-def list_documents(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
-    """SRC-12: documents below a folder with name, size, content and content hash, by path.
+def list_documents(spark: SparkSession, root: str, pattern: str = "*.pdf", ordered: bool = False) -> DataFrame:
+    """SRC-12: documents below a folder with name, size, content and content hash.
 
-    Spark's file sources pass over empty files, so those never show up here.
+    ``ordered`` sorts by path, which moves every content through a shuffle. Spark's
+    file sources pass over empty files, so those never show up here.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select(
+    listed = files.select(
         "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("nome_arquivo"), F.col("length").alias("size"),
         F.col("modificationTime").alias("modified_at"), F.md5("content").alias("hash_md5"), "content",
-    ).orderBy("path")
+    )
+    return listed.orderBy("path") if ordered else listed
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

@@ -114,6 +114,8 @@ def test_market_payloads(spark, tmp_path):
     days = {str(r.data_referencia): (r.pu_par, r.vna, r.taxa_indicativa, r.prazo_remanescente) for r in tables["deb_historico_diario"].collect()}
     assert days == {"2024-01-01": (10.5, None, 5.0, None), "2024-01-02": (11.5, None, None, 30), "2024-01-03": (None, 2.0, None, None)}
     assert consolidate_history(**market.read_prices(spark, str(tmp_path))).count() == 3
+    batch.compact_payloads(spark, str(tmp_path), str(tmp_path / "history"))
+    assert spark.read.parquet(str(tmp_path / "history")).where("ticker_deb = 'T1'").count() == 3
 
 
 def test_consolidated_history_files(spark, tmp_path):
@@ -132,7 +134,7 @@ def test_documents(spark, tmp_path):
     put(tmp_path, "a/vazio.pdf", "")
     put(tmp_path, "a/falso.pdf", "<html>")
     put(tmp_path, "a/x.txt", "x")
-    docs = files.list_documents(spark, str(tmp_path))
+    docs = files.list_documents(spark, str(tmp_path), ordered=True)
     got = docs.collect()
     assert [r.nome_arquivo for r in got] == ["ata.pdf", "falso.pdf", "DFP 2024.pdf"]
     assert got[0].hash_md5 == got[2].hash_md5 and got[0].size == 8
