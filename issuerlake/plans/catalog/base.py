@@ -35,7 +35,7 @@ class Tables:
         is read as it lies, without a shuffle.
         """
         df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         return df.repartition(cores) if size < cores * SMALL_SPLIT else df
 
 
