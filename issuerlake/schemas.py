@@ -13,6 +13,7 @@ def _table(spec: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Columns, keys, references and domains as the stored tables have them.
 TABLES = {
     "emissores": _table(
         "cnpj:s cod_cvm:s nome:s categoria_cvm:s tipo_capital:s ticker_acao:s grupo_economico:s setor:s observacao:s"
