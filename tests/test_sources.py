@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from issuerlake import schemas
 from issuerlake.operators.merges import consolidate_history
 from issuerlake.operators.quality import missing_columns
+from issuerlake.operators.tables import append_version, write_manifest
+from issuerlake.operators.windows import latest_per
 from issuerlake.plans import batch
 from issuerlake.sources import dossier, files, market, seeds, statements
 from issuerlake.streaming.ingest import ingest_available, upserting
@@ -165,3 +167,15 @@ def test_stream_reads_each_file_once_and_upserts(spark, tmp_path):
     put(landing, "2.json", '{"ticker_deb":"T","data_referencia":"d1","pu_par":0.5}\n{"ticker_deb":"T","data_referencia":"d2","pu_par":2.0}')
     assert run() == {("T", "d1", 0.5), ("T", "d2", 2.0), ("U", "d1", 1.0)}
     assert spark.read.parquet(table).where(F.col("ticker_deb") == "U").count() == 1
+
+
+def test_versions_are_appended_and_manifests_written(spark, tmp_path):
+    versions = spark.createDataFrame([("c", "v1", 1)], "cnpj string, analise_markdown string, criado_em int")
+    append_version(versions, str(tmp_path / "v"))
+    append_version(versions.withColumn("analise_markdown", F.lit("v2")).withColumn("criado_em", F.lit(2)), str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    assert stored.count() == 2
+    assert latest_per(stored, ["cnpj"], [F.desc("criado_em")]).collect()[0].analise_markdown == "v2"
+    links = spark.createDataFrame([("http://h/a.pdf", None, "ok")], "url string, year int, status string")
+    write_manifest(links, str(tmp_path / "m"))
+    assert [tuple(r) for r in spark.read.schema(links.schema).json(str(tmp_path / "m")).collect()] == [("http://h/a.pdf", None, "ok")]
