@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from issuerlake.llm.decontaminate import contamination
 from issuerlake.llm.jaccard import similar_sets
+from issuerlake.llm.substrings import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +58,22 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_ngram_jaccard")
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return similar_sets(table(spark, folder, "documents"), words=3, percent=90)
+
+
+REPEATS_SQL = r"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+k as (select doc_id, p, sha256(array_to_string(list_slice(w, p, p + 12), ' ')) as h
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as p from d)),
+m as (select h, min(doc_id) as least from k group by h),
+g as (select distinct doc_id, unnest(range(p, p + 13)) as p from k join m using (h) where least < doc_id),
+x as (select doc_id, p, w[p] as word from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from d)),
+r as (select x.doc_id, string_agg(word, ' ' order by x.p) as kept, count(*) as n
+  from x left join g on x.doc_id = g.doc_id and x.p = g.p where g.p is null group by 1)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from d left join r using (doc_id)"""
+
+
+@query("op5_substring_dedup", REPEATS_SQL)
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents"), length=13).drop("kept")
