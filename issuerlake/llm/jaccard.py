@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from issuerlake.llm import text as T
 from issuerlake.llm.components import components
-from issuerlake.llm.shared import materialize
+from issuerlake.llm.shared import Shared, materialize
 
 #: Counters of the rarity table: a table of 1 MB, whatever the input.
 COUNTERS = 1 << 17
@@ -106,7 +106,7 @@ def similar_sets(
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     counts = rarity(docs, words, separators, lower)
-    shared = spark.sparkContext.broadcast((counts, _fragment(counts)))
+    shared = Shared(spark, (counts, _fragment(counts)))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, _ = shared.value

@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from issuerlake.llm.decontaminate import contamination
 from issuerlake.llm.jaccard import similar_sets
+from issuerlake.llm.language import identify, learn
+from issuerlake.llm.licenses import license_scan
 from issuerlake.llm.substrings import without_repeats
+from issuerlake.llm.toxicity import held_out, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +81,20 @@ from d left join r using (doc_id)"""
 @query("op5_substring_dedup", REPEATS_SQL)
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents"), length=13).drop("kept")
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", held_out(F.col("doc_id"), 4, 2))
+    found = identify(docs, learn(docs.where("not held_out")))
+    return found.withColumn("held_out", held_out(F.col("doc_id"), 4, 2)).select("doc_id", "held_out", "lang_pred", "score", "bits", "rejected")
+
+
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -33,3 +35,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Shared:
+    """A bounded object that tasks read; sent as bytes that need no installed package to load."""
+
+    def __init__(self, spark: SparkSession, value: object) -> None:
+        self._sent, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = pickle.loads(self._sent.value)
+        return self._value
