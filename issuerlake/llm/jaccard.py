@@ -7,13 +7,16 @@ gives candidate pairs; the overlap of a pair is then counted in each fragment ap
 and summed per pair.
 
 * Rarity is counted over all words of all documents, in 2**17 hashed counters. An
-  n-gram's place is (its counter, its hash): any total order gives right results,
-  this one keeps frequent passages out of the prefixes.
+  n-gram's place is (the summed logarithms of its words' counters, its hash): any
+  total order gives right results. N-grams of rare words only, which no unrelated
+  document has, come first; frequent words and passages come last.
 * Equal sets are one class before any pair is formed.
-* Large groups of near copies give no quadratic output: first every document is
-  only compared with the smallest one that shares an n-gram with it. What is linked
-  by then needs no further comparison; only pairs of different components are still
-  formed, all of them, so that no link is lost.
+* Large groups of near copies give no quadratic output. First every document is only
+  compared with the smallest one that shares a prefix n-gram with it. What is linked
+  by then needs no further comparison. The documents of the n-grams that still join
+  different components are put into blocks of at most about ``BLOCK`` alike ones,
+  and every two blocks with an n-gram in common are compared whole in one task,
+  fragment by fragment; only links come out, and no link is lost.
 """
 
 from __future__ import annotations
@@ -36,62 +39,71 @@ COUNTERS = 1 << 17
 PIECES = 64
 #: Fragments of the global order.
 FRAGMENTS = 4
-#: Rounds that compare with the smallest partner only, before the exhaustive round.
-STARS = 2
+#: Documents of one block of the exhaustive round, about.
+BLOCK = 128
 
 _SHIFT = np.uint64(64 - COUNTERS.bit_length() + 1)
 
 
-def _grams(texts: pa.Array, n: int, separators: np.ndarray, lower: bool):
-    """Per chunk: first row, and hashes and document bounds of its n-grams; a shorter document is one n-gram of all its words."""
+def _grams(texts: pa.Array, n: int, separators: np.ndarray, lower: bool, levels: np.ndarray):
+    """Per chunk: first row; hashes and places of its n-grams, and the bounds of its documents. A shorter document is one n-gram of all its words."""
     for chunk in T.chunks(texts):
         words = T.cut(chunk, separators, lower)
         grams, at = T.ngrams(words, n)
+        level = np.concatenate([[0], np.cumsum(levels[(words.hashes >> _SHIFT).astype(np.int64)])])
+        place = level[at + n] - level[at]
         doc = np.searchsorted(words.first, at, "right") - 1
         for m in range(1, n):
             few = np.flatnonzero(words.counts == m)
             if len(few):
-                h = sum((words.hashes[words.first[few] + j] * f for j, f in enumerate(T.factors(m))), np.full(len(few), m, np.uint64))
-                grams, doc = np.concatenate([grams, T.mix(h)]), np.concatenate([doc, few])
+                start = words.first[few]
+                h = sum((words.hashes[start + j] * f for j, f in enumerate(T.factors(m))), np.full(len(few), m, np.uint64))
+                grams, place, doc = np.concatenate([grams, T.mix(h)]), np.concatenate([place, level[start + m] - level[start]]), np.concatenate([doc, few])
         order = np.argsort(doc, kind="stable")
-        grams = grams[order]
-        bounds = np.searchsorted(doc[order], np.arange(len(chunk) + 1))
-        yield chunk.row, grams, bounds
+        yield chunk.row, grams[order], place[order], np.searchsorted(doc[order], np.arange(len(chunk) + 1))
 
 
-def rarity(docs: DataFrame, n: int, separators: np.ndarray, lower: bool) -> np.ndarray:
-    """How often the n-grams of each counter occur in all documents."""
+def _sets(grams: np.ndarray, place: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per document, its different n-grams by hash, and their places."""
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        g, one = np.unique(grams[a:b], return_index=True)
+        yield g, place[a:b][one]
+
+
+def rarity(docs: DataFrame, separators: np.ndarray, lower: bool) -> np.ndarray:
+    """How often the words of each counter occur in all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for _, grams, _ in _grams(batch.column(0), n, separators, lower):
-                total += np.bincount((grams >> _SHIFT).astype(np.int64), minlength=COUNTERS)
+            for chunk in T.chunks(batch.column(0)):
+                total += np.bincount((T.cut(chunk, separators, lower).hashes >> _SHIFT).astype(np.int64), minlength=COUNTERS)
         task = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_pydict(
             {"piece": np.arange(PIECES, dtype=np.int32), "part": np.full(PIECES, task % 512, np.int32), "counts": [x.tobytes() for x in np.split(total, PIECES)]}
         )
 
-    def add(key, batches):
-        total = sum(np.frombuffer(x, np.int64) for batch in batches for x in batch.column("counts").to_pylist())
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in rows.column("counts").to_pylist())
         return pa.Table.from_pydict({"piece": pa.array([key[0].as_py()], pa.int32()), "counts": [total.tobytes()]})
 
     counted = docs.select("text").mapInArrow(count, "piece int, part int, counts binary")
-    added = counted.groupBy("piece", "part").applyInArrow(lambda k, t: add(k, t.to_batches()), "piece int, counts binary")
-    added = added.groupBy("piece").applyInArrow(lambda k, t: add(k, t.to_batches()), "piece int, counts binary")
+    added = counted.groupBy("piece", "part").applyInArrow(add, "piece int, counts binary")
+    added = added.groupBy("piece").applyInArrow(add, "piece int, counts binary")
     out = np.zeros((PIECES, COUNTERS // PIECES), np.int64)
     for row in added.collect():  # PIECES rows of 16 KB
         out[row["piece"]] = np.frombuffer(row["counts"], np.int64)
     return out.ravel()
 
 
-def _fragment(counts: np.ndarray) -> np.ndarray:
-    """The fragment of each counter: the global order cut where equal shares of all n-grams lie."""
-    order = np.lexsort((np.arange(COUNTERS), counts))
-    share = np.cumsum(counts[order]) / max(1, counts.sum())
-    out = np.zeros(COUNTERS, np.int8)
-    out[order] = np.minimum(FRAGMENTS - 1, (share * FRAGMENTS).astype(np.int8))
-    return out
+def _order(counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The level of each counter, and the places where the global order is cut into fragments: equal shares if words were drawn apart."""
+    levels = np.round(4 * np.log2(counts + 1)).astype(np.int64)
+    one = np.bincount(levels, counts, minlength=int(levels.max()) + 1) / max(1, counts.sum())
+    share = np.ones(1)
+    for _ in range(n):
+        share = np.convolve(share, one)
+    return levels, np.searchsorted(np.cumsum(share), np.arange(1, FRAGMENTS) / FRAGMENTS)
 
 
 def similar_sets(
@@ -105,22 +117,19 @@ def similar_sets(
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    counts = rarity(docs, words, separators, lower)
-    shared = Shared(spark, (counts, _fragment(counts)))
+    shared = Shared(spark, _order(rarity(docs, separators, lower), words))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, _ = shared.value
+        levels, _ = shared.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, grams, bounds in _grams(batch.column(1), words, separators, lower):
-                size, keys, prefix = len(bounds) - 1, [], []
+            for row, grams, place, bounds in _grams(batch.column(1), words, separators, lower, levels):
+                size, prefix = len(bounds) - 1, []
                 n, one, two = np.zeros(size, np.int64), np.zeros(size, np.uint64), np.zeros(size, np.uint64)
-                for i in range(size):
-                    g = np.unique(grams[bounds[i] : bounds[i + 1]])
+                for i, (g, at) in enumerate(_sets(grams, place, bounds)):
                     n[i] = len(g)
                     take = len(g) - -(-percent * len(g) // 100) + 1 if len(g) else 0
-                    place = np.argsort(counts[(g >> _SHIFT).astype(np.int64)], kind="stable")[:take]
-                    prefix.append(g[place])
+                    prefix.append(g[np.argsort(at, kind="stable")[:take]])
                     one[i], two[i] = g.sum(), T.mix(g ^ np.uint64(0x5851F42D4C957F2D)).sum()
                 lengths = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                 flat = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
@@ -140,17 +149,16 @@ def similar_sets(
     posts = materialize(posts.join(several, "gram"), "posts")
 
     wanted = posts.select(F.col("doc_id").alias("d")).distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["d"], "left_semi")
+    texts = docs.join(wanted, docs["doc_id"] == wanted["d"], "left_semi").dropDuplicates(["doc_id"])
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, fragment = shared.value
+        levels, pivots = shared.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, grams, bounds in _grams(batch.column(1), words, separators, lower):
+            for row, grams, place, bounds in _grams(batch.column(1), words, separators, lower, levels):
                 keys, parts, cut = [], [], []
-                for i in range(len(bounds) - 1):
-                    g = np.unique(grams[bounds[i] : bounds[i + 1]])
-                    f = fragment[(g >> _SHIFT).astype(np.int64)]
+                for i, (g, at) in enumerate(_sets(grams, place, bounds)):
+                    f = np.searchsorted(pivots, at, "right")
                     for k in range(FRAGMENTS):
                         keys.append(ids[row + i])
                         parts.append(k)
@@ -162,7 +170,7 @@ def similar_sets(
                     ["d", "fragment", "grams"],
                 )
 
-    cut = materialize(texts.mapInArrow(segments, "d long, fragment int, grams array<long>").dropDuplicates(["d", "fragment"]), "segments")
+    cut = materialize(texts.mapInArrow(segments, "d long, fragment int, grams array<long>"), "segments")
 
     def enough(na: Column, nb: Column, common: Column) -> Column:
         return (100 + percent) * common >= percent * (na + nb)
@@ -180,28 +188,88 @@ def similar_sets(
         summed = parts.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
         return summed.where(enough(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b")
 
-    links, posted = None, posts.withColumn("c", F.col("doc_id"))
-    for star in range(STARS + 1):
-        # n-grams whose documents are not all in one component yet
-        mixed = posted.groupBy("gram").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("c", "doc_id", "n", "i")).alias("centre"))
-        open_ = posted.join(mixed.where("low < high").select("gram", "centre"), "gram")
-        if star < STARS:
-            c = F.col("centre")
-            near = open_.where((F.col("c") != c["c"]) & possible(F.col("n"), c["n"], F.col("i"), c["i"]))
-            pairs = near.select(c["doc_id"].alias("a"), F.col("doc_id").alias("b"), c["n"].alias("na"), F.col("n").alias("nb"))
-        else:
-            open_ = materialize(open_.drop("centre"), "open")
-            x, y = open_.alias("x"), open_.alias("y")
-            pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.c") != F.col("y.c"))
-                           & possible(F.col("x.n"), F.col("y.n"), F.col("x.i"), F.col("y.i")))
-            pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-        found = materialize(verified(materialize(pairs.distinct(), "pairs")), "links")
-        links = found if links is None else links.unionByName(found)
-        found = components(links)
-        named = found.select(F.col("id").alias("node"), "component")
-        posted = posts.join(named, posts["doc_id"] == named["node"], "left").select(
-            *posts.columns, F.coalesce("component", "doc_id").alias("c")
-        )
+    # Every document with the smallest one of each of its n-grams.
+    centres = posts.groupBy("gram").agg(F.min(F.struct("doc_id", "n", "i")).alias("centre"))
+    c = F.col("centre")
+    near = posts.join(centres, "gram").where((F.col("doc_id") != c["doc_id"]) & possible(F.col("n"), c["n"], F.col("i"), c["i"]))
+    pairs = near.select(c["doc_id"].alias("a"), F.col("doc_id").alias("b"), c["n"].alias("na"), F.col("n").alias("nb")).distinct()
+    links = materialize(verified(pairs), "links")
+    named = components(links).select(F.col("id").alias("node"), "component")
+
+    # N-grams whose documents are in several components, in blocks of documents that share their most frequent one.
+    posts = posts.join(named, posts["doc_id"] == named["node"], "left").select(*posts.columns, F.coalesce("component", "doc_id").alias("c"))
+    posts = materialize(posts, "named")
+    mixed = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    posts = materialize(posts.join(mixed.select("gram", "m"), "gram"), "open")
+    family = posts.groupBy("doc_id").agg(F.max(F.struct("m", "gram"))["gram"].alias("family"), F.first("n").alias("n"), F.first("c").alias("c"))
+    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    salt = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))
+    blocks = materialize(family.join(sizes, "family").select(F.col("doc_id").alias("d"), "n", "c", F.struct("family", salt.alias("salt")).alias("block")), "blocks")
+    ranges = posts.select("gram", "i", F.col("doc_id").alias("d")).join(blocks, "d").groupBy("gram", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("i").alias("i"), F.min("c").alias("c_low"), F.max("c").alias("c_high")
+    )
+    ranges = materialize(ranges, "ranges")
+    x, y = ranges.alias("x"), ranges.alias("y")
+    alike = (100 * F.col("x.high") >= percent * F.col("y.low")) & (100 * F.col("y.high") >= percent * F.col("x.low"))
+    alike &= enough(F.col("x.low"), F.col("y.low"), F.least(F.col("x.high") - F.col("x.i"), F.col("y.high") - F.col("y.i")))
+    alike &= (F.col("x.c_low") != F.col("y.c_high")) | (F.col("x.c_high") != F.col("y.c_low"))
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.block") <= F.col("y.block")) & alike)
+    met = materialize(met.select(F.col("x.block").alias("one"), F.col("y.block").alias("two")).distinct(), "met")
+    asked = met.select("one", "two", F.col("one").alias("block"), F.lit(0).alias("side")).unionByName(
+        met.where("one != two").select("one", "two", F.col("two").alias("block"), F.lit(1).alias("side"))
+    )
+    task = F.xxhash64("one", "two")
+    asked = asked.join(blocks, "block").select(task.alias("task"), F.col("one.family").alias("f"), F.col("one.salt").alias("s"), F.col("two.family").alias("g"), F.col("two.salt").alias("t"), "side", "d", "n", "c")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one pair of blocks stand together, by fragment; at most about 2 * BLOCK documents are held."""
+        names = ["side", "d", "n", "c", "fragment", "grams"]
+
+        def groups():
+            key, held = None, []
+            for batch in batches:
+                keys = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in ("f", "s", "g", "t"))))
+                rows = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in names[:-1]), batch.column("grams")))
+                for k, row in zip(keys, rows):
+                    if k != key and held:
+                        yield held
+                        held = []
+                    key = k
+                    held.append(row)
+            if held:
+                yield held
+
+        for held in groups():
+            docs_ = sorted({(r[0], r[1], r[2], r[3]) for r in held})
+            at = {(r[0], r[1]): i for i, r in enumerate(docs_)}
+            cross = docs_[-1][0] == 1
+            split = sum(1 for r in docs_ if r[0] == 0)
+            common = np.zeros((split, len(docs_) - split if cross else split))
+            for k in range(FRAGMENTS):
+                mine = [(at[r[0], r[1]], r[5].values.to_numpy()) for r in held if r[4] == k]
+                who = np.repeat([i for i, _ in mine], [len(g) for _, g in mine]).astype(np.int64)
+                grams, place, seen = np.unique(np.concatenate([g for _, g in mine]) if mine else np.zeros(0, np.int64), return_inverse=True, return_counts=True)
+                often = np.flatnonzero(seen > 1)
+                turn = np.full(len(grams), -1)
+                turn[often] = np.arange(len(often))
+                place = turn[place]
+                for low in range(0, len(often), 4096):
+                    some = np.flatnonzero((place >= low) & (place < low + 4096))
+                    has = np.zeros((len(docs_), min(4096, len(often) - low)), np.float32)
+                    has[who[some], place[some] - low] = 1
+                    common += has[:split] @ (has[split:] if cross else has[:split]).T
+            left, right = docs_[:split], docs_[split:] if cross else docs_
+            n, m = np.array([r[2] for r in left]), np.array([r[2] for r in right])
+            other = np.array([r[3] for r in left])[:, None] != np.array([r[3] for r in right])[None, :]
+            i, j = np.nonzero(other & ((100 + percent) * common >= percent * (n[:, None] + m[None, :])))
+            a, b = np.array([r[1] for r in left])[i], np.array([r[1] for r in right])[j]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    filled = asked.join(cut, "d").repartition(parts, "task").sortWithinPartitions("task", "f", "s", "g", "t", "fragment")
+    filled = filled.select("f", "s", "g", "t", "side", "d", "n", "c", "fragment", "grams")
+    more = materialize(filled.mapInArrow(compare, "a long, b long").distinct(), "links")
+    named = components(links.unionByName(more)).select(F.col("id").alias("node"), "component")
 
     named = members.join(named, members["rep"] == named["node"], "left")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
