@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from issuerlake.llm.counts import document_counts
 from issuerlake.llm.decontaminate import contamination
 from issuerlake.llm.jaccard import similar_sets
 from issuerlake.llm.language import identify, learn
 from issuerlake.llm.licenses import license_scan
+from issuerlake.llm.mixing import quality_domains, rates
+from issuerlake.llm.search import top_k
+from issuerlake.llm.shared import scratch
 from issuerlake.llm.substrings import without_repeats
+from issuerlake.llm.tokenfiles import roundtrip
+from issuerlake.llm.tokens import tokenizer_path
 from issuerlake.llm.toxicity import held_out, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +104,39 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_licenses")
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(table(spark, folder, "documents"))
+
+
+#: Shares of all tokens that a training mix should have.
+WEIGHTS = {"good": 0.9, "poor": 0.09, "toxic": 0.01}
+#: The id that ends documents in flat files: the vocabulary's own end of text.
+SEPARATOR = 50256
+
+
+@query("op2_token_files")
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return roundtrip(table(spark, folder, "documents"), scratch(spark, "tokens"), tokenizer_path())
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return document_counts(table(spark, folder, "documents"), scratch(spark, "flat"), tokenizer_path(), SEPARATOR)
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return rates(table(spark, folder, "documents"), quality_domains(table(spark, folder, "labels")), WEIGHTS)
+
+
+#: Bits that hold a turn's place in its conversation, in one id of both.
+TURN_BITS = 20
+
+
+@query("op10_search")
+def op10_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns of conversations whose id is divisible by 20, against all turns."""
+    turns = table(spark, folder, "conversations").select(
+        "conv_id", (F.shiftleft("conv_id", TURN_BITS) + F.col("turn")).alias("doc_id"), "text"
+    )
+    found = top_k(turns, turns.where("conv_id % 20 = 0"), k=10)
+    part = lambda c, name: [F.shiftright(c, TURN_BITS).alias(f"{name}conv_id"), (F.col(c) % (1 << TURN_BITS)).alias(f"{name}turn")]
+    return found.select(*part("query_id", ""), "rank", *part("doc_id", "found_"), "score")
