@@ -11,12 +11,15 @@ and summed per pair.
   total order gives right results. N-grams of rare words only, which no unrelated
   document has, come first; frequent words and passages come last.
 * Equal sets are one class before any pair is formed.
-* Large groups of near copies give no quadratic output. First every document is only
-  compared with the smallest one that shares a prefix n-gram with it. What is linked
-  by then needs no further comparison. The documents of the n-grams that still join
-  different components are put into blocks of at most about ``BLOCK`` alike ones,
-  and every two blocks with an n-gram in common are compared whole in one task,
-  fragment by fragment; only links come out, and no link is lost.
+* Prefix n-grams of few documents give pairs outright, at most ``FEW`` for each. A
+  pair must share more prefix n-grams than what lies beyond the prefixes can make up
+  for, so unrelated pairs end here.
+* Prefix n-grams of many documents (large groups of near copies) give no pairs.
+  First every document is only compared with the smallest one that shares the
+  n-gram. What is linked by then needs no further comparison. The documents of the
+  n-grams that still join different components are put into blocks of at most about
+  ``BLOCK`` alike ones, and every two blocks with an n-gram in common are compared
+  whole in one task, fragment by fragment; only links come out, and no link is lost.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ COUNTERS = 1 << 17
 PIECES = 64
 #: Fragments of the global order.
 FRAGMENTS = 4
+#: Documents of a prefix n-gram that are paired outright, at most.
+FEW = 16
 #: Documents of one block of the exhaustive round, about.
 BLOCK = 128
 
@@ -145,10 +150,33 @@ def similar_sets(
     ranked = Window.partitionBy("n", "one", "two").orderBy("doc_id")
     reps = sets.where("n > 0").withColumn("k", F.row_number().over(ranked)).where("k = 1")
     posts = reps.select("doc_id", "n", F.posexplode("prefix").alias("i", "gram"))
-    several = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
+    several = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "n", "i")).alias("centre")).where("m > 1")
     posts = materialize(posts.join(several, "gram"), "posts")
 
-    wanted = posts.select(F.col("doc_id").alias("d")).distinct()
+    def enough(na: Column, nb: Column, common: Column) -> Column:
+        return (100 + percent) * common >= percent * (na + nb)
+
+    def possible(na: Column, nb: Column, i: Column, j: Column) -> Column:
+        fits = (100 * F.least(na, nb)) >= (percent * F.greatest(na, nb))
+        return fits & enough(na, nb, 1 + F.least(na - i - 1, nb - j - 1))
+
+    def beyond(n: Column) -> Column:
+        """N-grams of a set that are not in its prefix."""
+        return F.ceil(percent * n / 100) - 1
+
+    small, many = posts.where(f"m <= {FEW}"), posts.where(f"m > {FEW}")
+    x, y = small.alias("x"), small.alias("y")
+    both = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") < F.col("y.doc_id"))
+                  & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
+    both = both.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count(F.lit(1)).alias("shared"))
+    # Pairs that also share an n-gram of many documents may count too little here; those n-grams compare them below.
+    pairs = both.where(enough(F.col("na"), F.col("nb"), F.col("shared") + F.greatest(beyond(F.col("na")), beyond(F.col("nb"))))).drop("shared")
+    c = F.col("centre")
+    near = many.where((F.col("doc_id") != c["doc_id"]) & possible(F.col("n"), c["n"], F.col("i"), c["i"]))
+    near = near.select(c["doc_id"].alias("a"), F.col("doc_id").alias("b"), c["n"].alias("na"), F.col("n").alias("nb"))
+    pairs = materialize(pairs.unionByName(near).distinct(), "pairs")
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("d")).unionByName(many.select(F.col("doc_id").alias("d"))).distinct()
     texts = docs.join(wanted, docs["doc_id"] == wanted["d"], "left_semi").dropDuplicates(["doc_id"])
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,13 +200,6 @@ def similar_sets(
 
     cut = materialize(texts.mapInArrow(segments, "d long, fragment int, grams array<long>"), "segments")
 
-    def enough(na: Column, nb: Column, common: Column) -> Column:
-        return (100 + percent) * common >= percent * (na + nb)
-
-    def possible(na: Column, nb: Column, i: Column, j: Column) -> Column:
-        fits = (100 * F.least(na, nb)) >= (percent * F.greatest(na, nb))
-        return fits & enough(na, nb, 1 + F.least(na - i - 1, nb - j - 1))
-
     def verified(pairs: DataFrame) -> DataFrame:
         left = cut.select(F.col("d").alias("a"), "fragment", F.col("grams").alias("ga"))
         right = cut.select(F.col("d").alias("b"), "fragment", F.col("grams").alias("gb"))
@@ -188,16 +209,11 @@ def similar_sets(
         summed = parts.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
         return summed.where(enough(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b")
 
-    # Every document with the smallest one of each of its n-grams.
-    centres = posts.groupBy("gram").agg(F.min(F.struct("doc_id", "n", "i")).alias("centre"))
-    c = F.col("centre")
-    near = posts.join(centres, "gram").where((F.col("doc_id") != c["doc_id"]) & possible(F.col("n"), c["n"], F.col("i"), c["i"]))
-    pairs = near.select(c["doc_id"].alias("a"), F.col("doc_id").alias("b"), c["n"].alias("na"), F.col("n").alias("nb")).distinct()
     links = materialize(verified(pairs), "links")
     named = components(links).select(F.col("id").alias("node"), "component")
 
-    # N-grams whose documents are in several components, in blocks of documents that share their most frequent one.
-    posts = posts.join(named, posts["doc_id"] == named["node"], "left").select(*posts.columns, F.coalesce("component", "doc_id").alias("c"))
+    # N-grams of many documents in several components, in blocks of documents that share their most frequent one.
+    posts = many.drop("m", "centre").join(named, many["doc_id"] == named["node"], "left").select("gram", "doc_id", "n", "i", F.coalesce("component", "doc_id").alias("c"))
     posts = materialize(posts, "named")
     mixed = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     posts = materialize(posts.join(mixed.select("gram", "m"), "gram"), "open")
