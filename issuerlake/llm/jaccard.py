@@ -221,7 +221,8 @@ def similar_sets(
     sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
     salt = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))
     blocks = materialize(family.join(sizes, "family").select(F.col("doc_id").alias("d"), "n", "c", F.struct("family", salt.alias("salt")).alias("block")), "blocks")
-    ranges = posts.select("gram", "i", F.col("doc_id").alias("d")).join(blocks, "d").groupBy("gram", "block").agg(
+    placed = materialize(posts.select("gram", "i", F.col("doc_id").alias("d")).join(blocks, "d"), "placed")
+    ranges = placed.groupBy("gram", "block").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("i").alias("i"), F.min("c").alias("c_low"), F.max("c").alias("c_high")
     )
     ranges = materialize(ranges, "ranges")
@@ -230,12 +231,18 @@ def similar_sets(
     alike &= enough(F.col("x.low"), F.col("y.low"), F.least(F.col("x.high") - F.col("x.i"), F.col("y.high") - F.col("y.i")))
     alike &= (F.col("x.c_low") != F.col("y.c_high")) | (F.col("x.c_high") != F.col("y.c_low"))
     met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.block") <= F.col("y.block")) & alike)
-    met = materialize(met.select(F.col("x.block").alias("one"), F.col("y.block").alias("two")).distinct(), "met")
-    asked = met.select("one", "two", F.col("one").alias("block"), F.lit(0).alias("side")).unionByName(
-        met.where("one != two").select("one", "two", F.col("two").alias("block"), F.lit(1).alias("side"))
-    )
-    task = F.xxhash64("one", "two")
-    asked = asked.join(blocks, "block").select(task.alias("task"), F.col("one.family").alias("f"), F.col("one.salt").alias("s"), F.col("two.family").alias("g"), F.col("two.salt").alias("t"), "side", "d", "n", "c")
+    met = met.select("x.gram", F.col("x.block").alias("one"), F.col("y.block").alias("two"), F.col("x.low").alias("xl"), F.col("x.high").alias("xh"), F.col("y.low").alias("yl"), F.col("y.high").alias("yh"))
+    # Of two blocks, the documents that have one of the n-grams in common, at a length that the other block has too.
+    met = met.join(placed, "gram").where((F.col("block") == F.col("one")) | (F.col("block") == F.col("two")))
+    side = (F.col("block") != F.col("one")).cast("int")
+    low, high = F.when(side == 0, F.col("yl")).otherwise(F.col("xl")), F.when(side == 0, F.col("yh")).otherwise(F.col("xh"))
+    met = met.where((100 * F.col("n") >= percent * low) & (100 * high >= percent * F.col("n")))
+    asked = met.select(
+        F.xxhash64("one", "two").alias("task"), F.col("one.family").alias("f"), F.col("one.salt").alias("s"), F.col("two.family").alias("g"), F.col("two.salt").alias("t"), side.alias("side"), "d", "n", "c",
+    ).distinct()
+    # One document, or one component, has nothing to be compared with.
+    tasks = asked.groupBy("f", "s", "g", "t").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).where("c_low < c_high")
+    asked = materialize(asked.join(tasks.select("f", "s", "g", "t"), ["f", "s", "g", "t"]), "asked")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of one pair of blocks stand together, by fragment; at most about 2 * BLOCK documents are held."""
@@ -275,11 +282,11 @@ def similar_sets(
                     has[who[some], place[some] - low] = 1
                     common += has[:split] @ (has[split:] if cross else has[:split]).T
             left, right = docs_[:split], docs_[split:] if cross else docs_
-            n, m = np.array([r[2] for r in left]), np.array([r[2] for r in right])
+            n, m = np.array([r[2] for r in left], np.int64), np.array([r[2] for r in right], np.int64)
             other = np.array([r[3] for r in left])[:, None] != np.array([r[3] for r in right])[None, :]
             i, j = np.nonzero(other & ((100 + percent) * common >= percent * (n[:, None] + m[None, :])))
-            a, b = np.array([r[1] for r in left])[i], np.array([r[1] for r in right])[j]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            a, b = np.array([r[1] for r in left], np.int64)[i], np.array([r[1] for r in right], np.int64)[j]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     filled = asked.join(cut, "d").repartition(parts, "task").sortWithinPartitions("task", "f", "s", "g", "t", "fragment")
