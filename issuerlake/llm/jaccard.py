@@ -45,7 +45,7 @@ FRAGMENTS = 4
 #: Documents of a prefix n-gram that are paired outright, at most.
 FEW = 16
 #: Documents of one block of the exhaustive round, about.
-BLOCK = 128
+BLOCK = 512
 
 _SHIFT = np.uint64(64 - COUNTERS.bit_length() + 1)
 
