@@ -184,6 +184,8 @@ def _decode(coded: list[bytes]) -> list[np.ndarray]:
     depth = model.buckets.bit_length()
     for step in range(size):
         if step % _RENEW == 0:
+            if ids.min(initial=0) < 0 or ids.max(initial=0) >= _OWN + ((model.buckets - _OWN) << 6):
+                raise BlockError("a block's ids are out of range")
             model.renew(ids[:, step - _RENEW : step] if step else None)
             unit, whole = _U(model.unit), _U(model.unit * _SHARES)
         i, j, k, p, q, first, second = model.predict(before, earlier)

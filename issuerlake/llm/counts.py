@@ -30,7 +30,8 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, separator: int) -> No
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, file, block = Encoder(sent.value), TaskContext.get().partitionId(), 0
+        # A separator's own string in a text is ordinary text, so its id ends documents only.
+        encoder, file, block = Encoder(sent.value, plain=True), TaskContext.get().partitionId(), 0
         held, ended, size = [], [], 0
 
         def out(raw: bytes, ids: list) -> pa.RecordBatch:

@@ -28,6 +28,8 @@ EPOCHS = 40
 DECAY = np.float32(1e-5)
 #: Shares of the sample's rows that an n-gram with a vector occurs in.
 RARE, COMMON = 0.005, 0.06
+#: Times its usual share that one class must have of a more common n-gram's rows.
+LIFT = 1.5
 
 _FOLD = T.LOWER.copy()
 _FOLD[T.MARKS] = 0x20
@@ -101,8 +103,8 @@ class Model:
 def fit(rows: list[tuple], balanced: bool = True, seed: int = 7) -> Model:
     """A model from ``(label, buckets, counts)``: vectors and softmax trained together, full batches, Adam.
 
-    N-grams in too few or too many of the rows get no vector: the first say nothing
-    of other texts, the second are in texts of any class. With ``balanced`` every
+    N-grams in too few of the rows, or in very many with all classes alike, get no
+    vector: the first say nothing of other texts, the second of the class. With ``balanced`` every
     class weighs the same; without, scores follow the classes' shares.
     """
     rows = [r for r in rows if r[0] is not None and len(r[1])]
@@ -111,10 +113,12 @@ def fit(rows: list[tuple], balanced: bool = True, seed: int = 7) -> Model:
     flat = Model(classes or [0], np.zeros((k, BUCKETS), np.float32), np.zeros(k))
     if k == 1:
         return flat
-    seen = np.zeros(BUCKETS, np.int64)
-    for _, buckets, _ in rows:
-        seen[buckets] += 1
-    useful = (seen >= max(2, RARE * len(rows))) & (seen <= max(2, COMMON * len(rows)))
+    per = np.zeros((k, BUCKETS), np.int64)
+    for name, buckets, _ in rows:
+        per[classes.index(name), buckets] += 1
+    seen, share = per.sum(axis=0), np.array([[sum(r[0] == c for r in rows) / len(rows)] for c in classes])
+    lift = (per / np.maximum(seen, 1) / share).max(axis=0)
+    useful = (seen >= max(2, RARE * len(rows))) & ((seen <= max(2, COMMON * len(rows))) | (lift >= LIFT))
     picked = [useful[b] for _, b, _ in rows]
     sizes = np.array([p.sum() for p in picked])
     kept = np.flatnonzero(sizes)

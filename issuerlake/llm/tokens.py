@@ -23,12 +23,13 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 class Encoder:
     """Encodes texts piece by piece: a byte-level pre-tokenizer always cuts before a single blank between two visible characters."""
 
-    def __init__(self, model: str) -> None:
-        """``model``: the text of a tokenizer file."""
+    def __init__(self, model: str, plain: bool = False) -> None:
+        """``model``: the text of a tokenizer file. ``plain``: special tokens' strings in a text are ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
+        self.tokenizer.encode_special_tokens = plain
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
         blank = self.tokenizer.encode(" ", add_special_tokens=False).tokens[:1]
