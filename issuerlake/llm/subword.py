@@ -28,8 +28,8 @@ EPOCHS = 40
 DECAY = np.float32(1e-5)
 #: Shares of the sample's rows that an n-gram with a vector occurs in.
 RARE, COMMON = 0.005, 0.06
-#: Times its usual share that one class must have of a more common n-gram's rows.
-LIFT = 1.5
+#: Times its usual odds that one class must have among a more common n-gram's rows.
+ODDS = 6.0
 
 _FOLD = T.LOWER.copy()
 _FOLD[T.MARKS] = 0x20
@@ -117,8 +117,8 @@ def fit(rows: list[tuple], balanced: bool = True, seed: int = 7) -> Model:
     for name, buckets, _ in rows:
         per[classes.index(name), buckets] += 1
     seen, share = per.sum(axis=0), np.array([[sum(r[0] == c for r in rows) / len(rows)] for c in classes])
-    lift = (per / np.maximum(seen, 1) / share).max(axis=0)
-    useful = (seen >= max(2, RARE * len(rows))) & ((seen <= max(2, COMMON * len(rows))) | (lift >= LIFT))
+    odds = ((per + 0.5) / (seen - per + 0.5) * (1 - share) / share).max(axis=0)
+    useful = (seen >= max(2, RARE * len(rows))) & ((seen <= max(2, COMMON * len(rows))) | (odds >= ODDS))
     picked = [useful[b] for _, b, _ in rows]
     sizes = np.array([p.sum() for p in picked])
     kept = np.flatnonzero(sizes)
