@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from issuerlake.functions.text import (
     FINANCIAL_PAGE_PHRASES, contains_any, is_markdown_noise, is_noise, split_lines, strip_runs,
 )
 from issuerlake.operators.ordering import up
-from issuerlake.operators.windows import dedupe, top_rows
+from issuerlake.operators.windows import dedupe
 
 # Words that mark a sub-page worth visiting.
 SUBPAGE_WORDS = [
@@ -32,7 +32,6 @@ FINANCIAL_PAGE_CHARS = 100
 READABLE_PAGE_CHARS = 60
 TEXT_PAGES_PER_CHUNK = 8
 SCANNED_PAGES_PER_CHUNK = 15
-SUBPAGES_PER_PAGE = 8
 
 # A number as it is printed.
 NUMBER = r"(\d[\d.,]*\d|\d)"
@@ -82,16 +81,17 @@ def sanitize_markdown(df: DataFrame, col: str = "markdown", removed: str = "remo
 def financial_pages(
     pages: DataFrame,
     phrases: Sequence[str] = FINANCIAL_PAGE_PHRASES,
-    cap: int = FINANCIAL_PAGES_PER_DOCUMENT,
+    size: int = FINANCIAL_PAGES_PER_DOCUMENT,
     doc: str = "doc_id", page: str = "page_no", text: str = "text",
     min_chars: int = FINANCIAL_PAGE_CHARS,
 ) -> DataFrame:
-    """TXT-6: per document, its first ``cap`` pages with a statement phrase, joined under page markers."""
+    """TXT-6: per document, its pages with a statement phrase, joined under page markers in parts of ``size`` pages; the first part is 0."""
     found = pages.where((F.length(text) > min_chars) & contains_any(F.lower(F.col(text)), list(phrases)))
-    first = top_rows(found, [doc], [page], cap)
+    place = F.row_number().over(Window.partitionBy(doc).orderBy(page)) - 1
+    found = found.withColumn("part", F.floor(place / size).cast("int"))
     part = F.struct(F.col(page).alias("p"), F.concat(page_marker(F.col(page)), F.col(text)).alias("t"))
     ordered = F.array_sort(F.collect_list(part))
-    return first.groupBy(doc).agg(
+    return found.groupBy(doc, "part").agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.array_join(F.transform(ordered, lambda x: x["t"]), "").alias(text),
     )
@@ -293,14 +293,30 @@ def absolute_url(base: ColumnOrName, href: ColumnOrName) -> Column:
     """A link joined to the page it stands on."""
     base, href = as_column(base), as_column(href)
     folder = F.concat(url_root(base), F.coalesce(F.nullif(F.regexp_extract(url_path(base), r"^(.*/)", 1), F.lit("")), F.lit("/")))
-    return (
+    joined = (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), href))
         .when(href.startswith("/"), F.concat(url_root(base), href))
         .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href))
         .when(href.startswith("?"), F.concat(url_root(base), url_path(base), href))
-        .otherwise(F.concat(folder, F.regexp_replace(href, r"^(\./)+", "")))
+        .otherwise(F.concat(folder, href))
     )
+    return _without_dots(joined)
+
+
+def _without_dots(url: Column) -> Column:
+    """A URL with the segments "." and ".." of its path resolved; ".." at the root goes nowhere."""
+    root, path = url_root(url), F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)", 1)
+    rest = F.regexp_extract(url, r"^[^?#]*(.*)$", 1)
+    segments = F.split(F.regexp_replace(path, r"/\.{1,2}$", "$0/"), "/")
+    empty = F.array().cast("array<string>")
+
+    def step(kept: Column, x: Column) -> Column:
+        up = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(x == "..", up).when(x == ".", kept).otherwise(F.concat(kept, F.array(x)))
+
+    resolved = F.concat(root, F.array_join(F.aggregate(segments, empty, step), "/"), rest)
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), resolved).otherwise(url)
 
 
 _ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']+)["'][^>]*>(.*?)</a>"""
@@ -379,10 +395,9 @@ def sibling_links(pages: DataFrame, page: str = "page_id", url: str = "url", htm
 
 
 def candidate_links(
-    pages: DataFrame, limit: int = SUBPAGES_PER_PAGE, page: str = "page_id", url: str = "url", html: str = "html",
-    words: Sequence[str] = SUBPAGE_WORDS,
+    pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", words: Sequence[str] = SUBPAGE_WORDS,
 ) -> DataFrame:
-    """TXT-17: the page and its sub-pages that name documents, on the same domain, at most ``limit`` per page."""
+    """TXT-17: the page and its sub-pages that name documents, on the same domain; ``pos`` orders them, -1 being the page itself."""
     links = page_links(pages, page, url, html)
     low = F.lower(F.col("href"))
     is_download = low.endswith(".pdf") | low.contains("download")
@@ -390,8 +405,7 @@ def candidate_links(
     domain = F.replace(url_host("page_url"), F.lit("www."), F.lit(""))
     found = links.where(~is_download & named & F.endswith(url_host("url"), domain))
     itself = pages.select(page, F.col(url).alias("url"), F.lit(-1).alias("pos"))
-    unique = dedupe(itself.unionByName(found.select(page, "url", "pos")), [page, "url"], ["pos"])
-    return top_rows(unique, [page], ["pos", "url"], limit)
+    return dedupe(itself.unionByName(found.select(page, "url", "pos")), [page, "url"], ["pos"])
 
 
 def _versions(*fields: str) -> T.ArrayType:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.functions.cleaning import account_level, digits, norm_code, strip, upper_key
+from issuerlake.functions.cleaning import account_level, norm_code, strip
 from issuerlake.functions.text import UNKNOWN_YEAR
 from issuerlake.operators.ordering import down
 
@@ -111,7 +111,3 @@ def stale_files(listing: DataFrame, as_of: Column, hours: int = 24, modified: st
     age = F.unix_timestamp(as_of) - F.unix_timestamp(F.col(modified))
     return listing.where(age >= hours * 3600)
 
-
-def normalized_key(df: DataFrame, col: str, kind: str) -> DataFrame:
-    """The key column of a frame in its stored form."""
-    return df.withColumn(col, digits(col) if kind == "cnpj" else upper_key(col))

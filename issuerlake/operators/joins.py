@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import blank_to_null, digits, parse_decimal, strip
 from issuerlake.operators.ordering import up
+from issuerlake.operators.tables import last_update_wins
 from issuerlake.operators.windows import dedupe
 
 PORTFOLIO_COLUMNS = [
@@ -179,16 +180,17 @@ def flag_member(df: DataFrame, other: DataFrame, keys: Sequence[str], flag: str)
 
 
 def attach(df: DataFrame, other: DataFrame, keys: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """JOIN-9: columns of a keyed frame for every row at once, instead of one look-up per key."""
+    """JOIN-9: columns of a keyed frame for every row at once, instead of one look-up per key; of repeated keys, the greatest row."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.join(other.select(*keys, *columns), keys, "left")
+    return df.join(last_update_wins(other.select(*keys, *columns), keys), keys, "left")
 
 
 def inject_rates(
-    history: DataFrame, rates: DataFrame, keys: Sequence[str] = ("data_referencia",), rate: str = "taxa_indicativa"
+    history: DataFrame, rates: DataFrame, keys: Sequence[str] = ("data_referencia",), rate: str = "taxa_indicativa",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """JOIN-10: looked-up rates by date, decimal commas read; dates without one keep what they had."""
-    found = rates.select(*keys, parse_decimal(rate).alias("_rate"))
+    """JOIN-10: looked-up rates by date, decimal commas read; dates without one keep what they had. Of several rates, the last by ``order``."""
+    found = last_update_wins(rates.select(*keys, *order, parse_decimal(rate).alias("_rate")), keys, order).select(*keys, "_rate")
     return history.join(found, list(keys), "left").withColumn(rate, F.coalesce("_rate", rate)).drop("_rate")
 
 

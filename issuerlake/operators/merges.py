@@ -11,6 +11,7 @@ from issuerlake.functions.cleaning import blank_to_null, date10, digits, norm_co
 from issuerlake.operators.filters import current_period_only, max_level
 from issuerlake.operators.joins import resolve_registry
 from issuerlake.operators.ordering import null_safe
+from issuerlake.operators.tables import last_update_wins
 from issuerlake.operators.windows import dedupe
 
 # Statement tables in processing order, and the statement each one fills.
@@ -254,10 +255,11 @@ def new_period_count(base: DataFrame, new: DataFrame, keys: Sequence[str] = ("cn
 
 def merge_history(
     old: DataFrame, new: DataFrame, keys: Sequence[str] = ("ticker_deb", "data_referencia"),
-    sticky: Sequence[str] = ("taxa_indicativa",),
+    sticky: Sequence[str] = ("taxa_indicativa",), order: Sequence[str] = (),
 ) -> DataFrame:
-    """MRG-7: a new row replaces the old one of its date; sticky columns keep a known old value."""
-    new = new.withColumn("_is_new", F.lit(True))
+    """MRG-7: a new row replaces the old one of its date; sticky columns keep a known old value. Of repeated keys, the last by ``order``."""
+    old = last_update_wins(old, keys, [c for c in order if c in old.columns])
+    new = last_update_wins(new, keys, order).withColumn("_is_new", F.lit(True))
     joined = old.alias("o").join(new.alias("n"), null_safe("o", "n", keys), "full_outer")
     replaced = F.coalesce(F.col("n._is_new"), F.lit(False))
 

@@ -1,7 +1,7 @@
 """Keyed table maintenance and incremental selection (SNK-2..9, INC-1..3).
 
 Frames in, frames out, plus ``*_into`` forms that maintain a partitioned Parquet
-table: they read and rewrite only the partitions the updates touch.
+table: they rewrite only the partitions the updates touch.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from issuerlake.operators.ordering import null_safe, up
 from issuerlake.operators.windows import dedupe
@@ -101,21 +102,25 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).format(fmt).save(path)
 
 
-def _stored(path: str, updates: DataFrame) -> DataFrame:
-    """The stored table; before its first row, an empty one shaped like the updates."""
+def _stored(path: str, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The stored table, its partition values read as the updates type them; before its first row, an empty one shaped like the updates."""
     spark = updates.sparkSession
     try:
-        return spark.read.parquet(path)
+        found = spark.read.parquet(path).schema
     except AnalysisException as missing:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], updates.schema)
+    # Guessed types would turn a tax id into a number.
+    fields = [updates.schema[f.name] if f.name in partition_by else f for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def _touched(path: str, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of the partitions the updates name; other partitions are pruned when the join runs."""
-    parts = updates.select(*partition_by).distinct()
-    return _stored(path, updates).join(parts, list(partition_by), "left_semi")
+    """Rows of the partitions the updates name, a null partition included."""
+    parts = updates.select(*partition_by).distinct().alias("p")
+    stored = _stored(path, updates, partition_by).alias("s")
+    return stored.join(parts, null_safe("s", "p", partition_by), "left_semi")
 
 
 def upsert_into(
@@ -123,14 +128,21 @@ def upsert_into(
 ) -> None:
     """SNK-2 on a stored table partitioned by columns of its key.
 
-    Only partitions named by the updates are read (pruned at run time) and
-    replaced (dynamic partition overwrite). Running it twice leaves the same rows.
+    Only partitions named by the updates are replaced (dynamic partition overwrite);
+    finding them reads the table's partition columns. With ``order``, an update that
+    is older than the stored row of its key changes nothing, so the result does not
+    depend on how updates are split into batches. Running it twice leaves the same rows.
     """
     missing = set(partition_by) - set(keys)
     if missing:
         raise ValueError(f"partition columns must belong to the key: {sorted(missing)}")
     target = _touched(path, updates, partition_by)
-    write_partitioned(upsert(target, updates, keys, order=order, **options), path, partition_by)
+    final = last_update_wins(updates, keys, order)
+    if order:
+        newer = [F.col(f"s.{c}") for c in order], [F.col(f"u.{c}") for c in order]
+        older = null_safe("u", "s", keys) & (F.struct(*newer[0]) > F.struct(*newer[1]))
+        final = final.alias("u").join(target.select(*keys, *order).alias("s"), older, "left_anti")
+    write_partitioned(upsert(target, final, keys, order=order, **options), path, partition_by)
 
 
 def insert_new_into(

@@ -16,9 +16,6 @@ from issuerlake.functions.cleaning import digits, strip
 from issuerlake.functions.display import fold, join_parts
 from issuerlake.operators.ordering import Order, down, order_columns, up
 
-# The largest page of history rows.
-MAX_PAGE = 5000
-
 # What each kind of match adds to the score of an option.
 EXACT = {"primary": 120, "value": 115, "secondary": 105}
 PREFIX = {"primary": 90, "value": 82, "secondary": 74}
@@ -48,8 +45,8 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Order, keep: str = "first"
     return top_rows(df, keys, order, 1)
 
 
-def clamp(offset: int, limit: int, max_limit: int = MAX_PAGE) -> tuple[int, int]:
-    return max(offset, 0), min(max(limit, 1), max_limit)
+def clamp(offset: int, limit: int) -> tuple[int, int]:
+    return max(offset, 0), max(limit, 1)
 
 
 def page(df: DataFrame, order: Order, offset: int = 0, limit: int = 10) -> DataFrame:

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-SMALL_SPLIT = 16 * 1024 * 1024
-
 
 class Tables:
     """The given tables by name, read when first asked for."""
@@ -28,16 +26,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy per row, spread over the cores when it is too small to fill them.
-
-        The size comes from the file listing. A table with a split for every core
-        is read as it lies, without a shuffle.
-        """
-        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return df.repartition(cores) if size < cores * SMALL_SPLIT else df
-
 
 @dataclass(frozen=True)
 class Query:

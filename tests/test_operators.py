@@ -206,6 +206,43 @@ def test_stored_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path).where("y = 2025"), "k", "v") == [("b", 5.0), ("c", 6.0)]
 
 
+def test_stored_upsert_keeps_tax_ids_and_null_partitions(spark, tmp_path):
+    schema, path = "cnpj string, v int, at int", str(tmp_path / "t")
+    first = spark.createDataFrame([("00000000000191", 1, 1), ("00000000000272", 2, 1)], schema)
+    for _ in range(2):
+        T.upsert_into(path, first, ["cnpj"], ["cnpj"])
+    stored = spark.read.schema("v int, at int, cnpj string").parquet(path)
+    assert rows(stored, "cnpj", "v") == [("00000000000191", 1), ("00000000000272", 2)]
+    path = str(tmp_path / "n")
+    T.upsert_into(path, spark.createDataFrame([("a", None, 1), ("b", None, 1)], "k string, y int, at int"), ["k", "y"], ["y"])
+    T.upsert_into(path, spark.createDataFrame([("a", None, 2)], "k string, y int, at int"), ["k", "y"], ["y"])
+    assert rows(spark.read.parquet(path), "k", "at") == [("a", 2), ("b", 1)]
+
+
+def test_stored_upsert_does_not_depend_on_batches(spark, tmp_path):
+    old, new = (spark.createDataFrame([("a", 1, n)], "k string, y int, at int") for n in (1, 2))
+    for name, batches in (("x", (old, new)), ("z", (new, old)), ("w", (old.union(new),))):
+        for batch in batches:
+            T.upsert_into(str(tmp_path / name), batch, ["k", "y"], ["y"], order=["at"])
+        assert rows(spark.read.parquet(str(tmp_path / name)), "k", "at") == [("a", 2)]
+
+
+def test_repeated_keys_do_not_multiply_rows(spark):
+    from issuerlake.operators import joins, merges
+
+    history = spark.createDataFrame([("d1", 1.0), ("d2", 2.0)], "data_referencia string, taxa_indicativa double")
+    found = spark.createDataFrame([("d1", "1,5", 1), ("d1", "2,5", 2)], "data_referencia string, taxa_indicativa string, n int")
+    assert rows(joins.inject_rates(history, found, order=["n"])) == [("d1", 2.5), ("d2", 2.0)]
+    old = spark.createDataFrame([("t", "d1", 1.0, 1)], "ticker_deb string, data_referencia string, taxa_indicativa double, n int")
+    new = spark.createDataFrame([("t", "d1", 2.0, 2), ("t", "d1", 3.0, 3)], old.schema)
+    assert rows(merges.merge_history(old, new, order=["n"])) == [("t", "d1", 3.0, 3)]
+
+
+def test_dot_segments(value):
+    for href, want in (("../x.pdf", "https://h.com/a/x.pdf"), ("./x.pdf", "https://h.com/a/b/x.pdf"), ("/../q/./y?z=../1", "https://h.com/q/y?z=../1"), ("../../../x", "https://h.com/x"), ("..", "https://h.com/a/")):
+        assert value(D.absolute_url("u", "h"), u="https://h.com/a/b/c.html", h=href) == want
+
+
 def test_incremental(spark):
     listing = spark.createDataFrame([("a", 10, 5.0), ("b", 10, 5.0), ("c", 10, 5.0)], "path string, size int, modified_at double")
     other = spark.createDataFrame([("a", 10, 5.9), ("b", 11, 5.0), ("d", 1, 1.0)], "path string, size int, modified_at double")
@@ -283,8 +320,9 @@ def test_pages(spark):
     long = "ativo total " + "x" * 100
     df = spark.createDataFrame(doc("a", 35, long) + doc("b", 11, "x" * 59) + doc("c", 9, "y" * 60) + [("b", 12, "x" * 60)], "doc_id string, page_no int, text string")
     assert rows(D.scanned(df), "doc_id", "is_scanned") == [("a", False), ("b", True), ("c", False)]
-    pages = D.financial_pages(df).collect()[0]
+    pages, more = D.financial_pages(df).orderBy("part").collect()
     assert (pages.doc_id, pages.n_pages) == ("a", 30) and pages.text.startswith("\n\n--- PÁGINA 1 ---\nativo") and "PÁGINA 31" not in pages.text
+    assert (more.doc_id, more.part, more.n_pages) == ("a", 1, 5) and more.text.startswith("\n\n--- PÁGINA 31 ---")
     assert rows(D.chunk_pages(df).where("doc_id <> 'a'"), "doc_id", "page_range") == [
         ("b", "(Páginas 9 a 12 de 12)"), ("c", "(Páginas 1 a 8 de 9)"), ("c", "(Páginas 9 a 9 de 9)")
     ]
