@@ -156,7 +156,7 @@ def test_stream_reads_each_file_once_and_upserts(spark, tmp_path):
     table, landing, mark = str(tmp_path / "table"), tmp_path / "landing", str(tmp_path / "ckpt")
 
     def run():
-        sink = upserting(table, ["ticker_deb", "data_referencia"], ["ticker_deb"], order=["pu_par"])
+        sink = upserting(table, ["ticker_deb", "data_referencia"], ["ticker_deb"])
         ingest_available(spark, str(landing), kinds, sink, mark)
         return {(r.ticker_deb, r.data_referencia, r.pu_par) for r in spark.read.parquet(table).collect()}
 
