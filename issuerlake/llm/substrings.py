@@ -139,6 +139,7 @@ def repeated_spans(docs: DataFrame, length: int = 13) -> DataFrame:
     dealt = rows.select(key.alias("anchor"), "doc_id", "at", "known").repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id")
     open_ = dealt.mapInArrow(repeated, "doc_id long, at int")
     marked = open_.groupBy("doc_id").agg(F.collect_set("at").alias("marked")).withColumnRenamed("doc_id", "marked_id")
+    marked = materialize(marked, "marked")
 
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +202,7 @@ def without_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     spans = repeated_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    spans = spans.withColumnRenamed("doc_id", "cut_id")
+    spans = materialize(spans.withColumnRenamed("doc_id", "cut_id"), "spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
