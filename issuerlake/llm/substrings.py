@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from issuerlake.llm.shared import materialize
 
 #: Words of an anchor, at most.
 ANCHOR = 5
+#: Chunks of text in which paths with the same words are found before any shuffle.
+CHUNKS = 8
 
 
 def _minima(x: np.ndarray, width: int) -> np.ndarray:
@@ -98,16 +101,19 @@ def repeated_spans(docs: DataFrame, length: int = 13) -> DataFrame:
             lead = np.zeros(len(h), bool)
             lead[new] = True
             # The first row of such a group stands for it elsewhere; the others need no comparison any more.
+            # Places of anchors known to repeat are written as ~at: one column less to shuffle.
+            at = np.where(several, ~at, at).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(T.as_long(h)), pa.array(d, pa.int64()), pa.array(at.astype(np.int32)), pa.array(several), pa.array(several & ~lead)],
-                ["anchor", "doc_id", "at", "known", "done"],
+                [pa.array(T.as_long(h)), pa.array(d, pa.int64()), pa.array(at), pa.array(several & ~lead)],
+                ["anchor", "doc_id", "at", "done"],
             )
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of rows in order of anchor and document, those whose anchor has several documents; one anchor's open rows are held while it has one document."""
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            now = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            h, d, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            now = (h, d, np.where(at < 0, ~at, at), at < 0)
             if held:
                 now = tuple(np.concatenate(x) for x in zip(held.pop(), now))
             h, d, at, known = now
@@ -133,51 +139,60 @@ def repeated_spans(docs: DataFrame, length: int = 13) -> DataFrame:
 
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.mapInArrow(anchors, "anchor long, doc_id long, at int, known boolean, done boolean")
+    rows = docs.mapInArrow(anchors, "anchor long, doc_id long, at int, done boolean")
     # Finished rows are dealt by themselves, so that no partition gets all rows of a common anchor.
     key = F.when(F.col("done"), F.xxhash64("doc_id", "at")).otherwise(F.col("anchor"))
-    dealt = rows.select(key.alias("anchor"), "doc_id", "at", "known").repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id")
+    dealt = rows.select(key.alias("anchor"), "doc_id", "at").repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id")
     open_ = dealt.mapInArrow(repeated, "doc_id long, at int")
     marked = open_.groupBy("doc_id").agg(F.collect_set("at").alias("marked")).withColumnRenamed("doc_id", "marked_id")
     marked = materialize(marked, "marked")
 
+    def compacted(chunk: T.Chunk, ids: np.ndarray, lists: pa.Array):
+        """Marked paths of a chunk: anchor, body, document, first word, number of edges; and their edges in a row."""
+        words = T.cut(chunk, T.BLANKS, lower=False)
+        doc, kmer, anchor, by_word = _paths(words, length)
+        wanted = np.zeros(len(words.hashes) + 1, bool)
+        for i in range(len(chunk)):
+            wanted[words.first[i] + lists[chunk.row + i].values.to_numpy(zero_copy_only=False)] = True
+        keep = wanted[anchor]
+        doc, kmer, anchor = doc[keep], kmer[keep], anchor[keep]
+        new = _runs(doc, anchor)
+        grams, at = T.ngrams(words, length)
+        edges = grams[np.searchsorted(at, kmer)]
+        size = np.diff(np.concatenate([new, [len(kmer)]])).astype(np.int64) if len(new) else new
+        # The path's words: a hash of its edges, 128 bits with its anchor's own hash.
+        inside = np.arange(len(kmer)) - np.repeat(new, size)
+        body = edges * T.factors(length)[np.minimum(inside, length - 1)]
+        body = T.mix(np.add.reduceat(body, new) + size.astype(np.uint64)) if len(new) else body
+        return by_word[anchor[new]], body, ids[chunk.row + doc[new]], kmer[new] - words.first[doc[new]], size, edges
+
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
-            out = []
-            for chunk in T.chunks(batch.column(1)):
-                words = T.cut(chunk, T.BLANKS, lower=False)
-                doc, kmer, anchor, by_word = _paths(words, length)
-                wanted = np.zeros(len(words.hashes) + 1, bool)
-                for i in range(len(chunk)):
-                    wanted[words.first[i] + lists[chunk.row + i].values.to_numpy(zero_copy_only=False)] = True
-                keep = wanted[anchor]
-                doc, kmer, anchor = doc[keep], kmer[keep], anchor[keep]
-                new = _runs(doc, anchor)
-                if not len(new):
+            runs = T.chunks(batch.column(1))
+            while some := list(islice(runs, CHUNKS)):
+                anchor, body, doc, start, size, edges = (np.concatenate(x) for x in zip(*(compacted(c, ids, lists) for c in some)))
+                if not len(anchor):
                     continue
-                grams, at = T.ngrams(words, length)
-                edges = grams[np.searchsorted(at, kmer)]
-                size = np.diff(np.concatenate([new, [len(kmer)]]))
-                # The path's words: a hash of its edges, 128 bits with its anchor's own hash.
-                inside = np.arange(len(kmer)) - np.repeat(new, size)
-                body = np.add.reduceat(edges * T.factors(length)[np.minimum(inside, length - 1)], new)
-                body = T.mix(body + size.astype(np.uint64))
-                bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                out.append(pa.RecordBatch.from_arrays(
-                    [pa.array(T.as_long(by_word[anchor[new]])), pa.array(T.as_long(body)), pa.array(ids[chunk.row + doc[new]], pa.int64()),
-                     pa.array((kmer[new] - words.first[doc[new]]).astype(np.int32)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(T.as_long(edges)))],
-                    ["anchor", "body", "doc_id", "start", "edges"],
-                ))
-            yield from out
+                # Of paths with the same words, one brings the edges.
+                order = np.lexsort((body, anchor))
+                lead = np.concatenate([[True], (anchor[order][1:] != anchor[order][:-1]) | (body[order][1:] != body[order][:-1])])
+                bare = np.ones(len(anchor), bool)
+                bare[order[lead]] = False
+                bounds = np.concatenate([[0], np.cumsum(np.where(bare, 0, size))]).astype(np.int32)
+                kept = pa.ListArray.from_arrays(pa.array(bounds), pa.array(T.as_long(edges[np.repeat(~bare, size)])), mask=pa.array(bare))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(T.as_long(anchor)), pa.array(T.as_long(body)), pa.array(doc, pa.int64()), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), kept],
+                    ["anchor", "body", "doc_id", "start", "n", "edges"],
+                )
 
     texts = docs.join(marked, docs["doc_id"] == marked["marked_id"]).select("doc_id", "text", "marked")
-    found = materialize(texts.mapInArrow(paths, "anchor long, body long, doc_id long, start int, edges array<long>"), "paths")
+    found = materialize(texts.mapInArrow(paths, "anchor long, body long, doc_id long, start int, n int, edges array<long>"), "paths")
 
     # Paths with the same words become one, with its smallest document as source.
-    compact = found.groupBy("anchor", "body").agg(F.min("doc_id").alias("source"), F.min_by("edges", "doc_id").alias("edges"))
+    compact = found.groupBy("anchor", "body").agg(F.min("doc_id").alias("source"), F.first("edges", ignorenulls=True).alias("edges"))
     compact = materialize(compact, "compact")
-    places = found.select("anchor", "body", "doc_id", "start", F.size("edges").alias("n")).join(
+    places = found.select("anchor", "body", "doc_id", "start", "n").join(
         compact.select("anchor", "body", "source"), ["anchor", "body"]
     )
     later = places.where("doc_id > source").select("doc_id", "start", (F.col("start") + F.col("n") - 1).alias("stop"))
@@ -186,7 +201,7 @@ def repeated_spans(docs: DataFrame, length: int = 13) -> DataFrame:
     edges = compact.join(branching, "anchor").select("anchor", "body", "source", F.posexplode("edges").alias("i", "edge"))
     sources = edges.groupBy("edge").agg(F.min("source").alias("least"), F.max("source").alias("most")).where("least < most")
     parts_ = edges.join(sources, "edge").where("least < source").groupBy("anchor", "body", "source").agg(F.collect_set("i").alias("inner"))
-    parts_ = parts_.withColumnRenamed("source", "owner")
+    parts_ = materialize(parts_.withColumnRenamed("source", "owner"), "inner")
     own = found.select("anchor", "body", "doc_id", "start").join(parts_, ["anchor", "body"]).where("doc_id = owner")
     own = own.select("doc_id", "start", F.explode("inner").alias("i")).select("doc_id", (F.col("start") + F.col("i")).alias("start"))
     return later.unionByName(own.withColumn("stop", F.col("start")))
