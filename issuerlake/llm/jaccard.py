@@ -46,6 +46,10 @@ FRAGMENTS = 4
 FEW = 16
 #: Documents of one block of the exhaustive round, about.
 BLOCK = 512
+#: Rounds of the exhaustive comparison; each holds its share of the copied n-grams on disk.
+ROUNDS = 4
+#: What names a block.
+PARTS = ("family", "kind", "salt")
 
 _SHIFT = np.uint64(64 - COUNTERS.bit_length() + 1)
 
@@ -218,9 +222,13 @@ def similar_sets(
     mixed = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     posts = materialize(posts.join(mixed.select("gram", "m"), "gram"), "open")
     family = posts.groupBy("doc_id").agg(F.max(F.struct("m", "gram"))["gram"].alias("family"), F.first("n").alias("n"), F.first("c").alias("c"))
-    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    # A component of more than BLOCK documents has blocks of its own, which are not compared among themselves; the rest of a family is mixed.
+    own = family.groupBy("family", "c").agg(F.count(F.lit(1)).alias("together"))
+    kind = F.when(F.col("together") > BLOCK, F.col("c")).otherwise(-1)
+    sizes = own.groupBy("family", kind.alias("kind")).agg(F.sum("together").alias("size"))
+    family = family.join(own, ["family", "c"]).withColumn("kind", kind).join(sizes, ["family", "kind"])
     salt = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))
-    blocks = materialize(family.join(sizes, "family").select(F.col("doc_id").alias("d"), "n", "c", F.struct("family", salt.alias("salt")).alias("block")), "blocks")
+    blocks = materialize(family.select(F.col("doc_id").alias("d"), "n", "c", F.struct("family", "kind", salt.alias("salt")).alias("block")), "blocks")
     placed = materialize(posts.select("gram", "i", F.col("doc_id").alias("d")).join(blocks, "d"), "placed")
     ranges = placed.groupBy("gram", "block").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("i").alias("i"), F.min("c").alias("c_low"), F.max("c").alias("c_high")
@@ -238,26 +246,27 @@ def similar_sets(
     low, high = F.when(side == 0, F.col("yl")).otherwise(F.col("xl")), F.when(side == 0, F.col("yh")).otherwise(F.col("xh"))
     met = met.where((100 * F.col("n") >= percent * low) & (100 * high >= percent * F.col("n")))
     asked = met.select(
-        F.xxhash64("one", "two").alias("task"), F.col("one.family").alias("f"), F.col("one.salt").alias("s"), F.col("two.family").alias("g"), F.col("two.salt").alias("t"), side.alias("side"), "d", "n", "c",
+        F.xxhash64("one", "two").alias("task"), *(F.col(f"{block}.{part}").alias(f"{block}_{part}") for block in ("one", "two") for part in PARTS), side.alias("side"), "d", "n", "c",
     ).distinct()
     # One document, or one component, has nothing to be compared with.
-    tasks = asked.groupBy("f", "s", "g", "t").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).where("c_low < c_high")
-    asked = materialize(asked.join(tasks.select("f", "s", "g", "t"), ["f", "s", "g", "t"]), "asked")
+    key = [f"{block}_{part}" for block in ("one", "two") for part in PARTS]
+    tasks = asked.groupBy(*key).agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).where("c_low < c_high")
+    asked = materialize(asked.join(tasks.select(*key), key), "asked")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of one pair of blocks stand together, by fragment; at most about 2 * BLOCK documents are held."""
         names = ["side", "d", "n", "c", "fragment", "grams"]
 
         def groups():
-            key, held = None, []
+            last, held = None, []
             for batch in batches:
-                keys = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in ("f", "s", "g", "t"))))
+                keys = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in key)))
                 rows = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in names[:-1]), batch.column("grams")))
                 for k, row in zip(keys, rows):
-                    if k != key and held:
+                    if k != last and held:
                         yield held
                         held = []
-                    key = k
+                    last = k
                     held.append(row)
             if held:
                 yield held
@@ -289,10 +298,13 @@ def similar_sets(
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    filled = asked.join(cut, "d").repartition(parts, "task").sortWithinPartitions("task", "f", "s", "g", "t", "fragment")
-    filled = filled.select("f", "s", "g", "t", "side", "d", "n", "c", "fragment", "grams")
-    more = materialize(filled.mapInArrow(compare, "a long, b long").distinct(), "links")
-    named = components(links.unionByName(more)).select(F.col("id").alias("node"), "component")
+    # In rounds: a document's n-grams are copied for every task, and one round's copies are gone before the next begins.
+    for turn in range(ROUNDS):
+        now = asked.where(F.pmod(F.shiftright("task", 32), F.lit(ROUNDS)) == turn)
+        filled = now.join(cut, "d").repartition(parts, "task").sortWithinPartitions("task", *key, "fragment")
+        filled = filled.select(*key, "side", "d", "n", "c", "fragment", "grams")
+        links = links.unionByName(materialize(filled.mapInArrow(compare, "a long, b long").distinct(), "links"))
+    named = components(links).select(F.col("id").alias("node"), "component")
 
     named = members.join(named, members["rep"] == named["node"], "left")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
