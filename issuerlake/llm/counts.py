@@ -41,9 +41,9 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, separator: int) -> No
             )
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low in range(0, len(ids), 500):
-                for doc, got in zip(ids[low : low + 500], encoder.encode([t or "" for t in texts[low : low + 500]])):
+            for low in range(0, batch.num_rows, 500):
+                ids, texts = (x.to_pylist() for x in batch.slice(low, 500).columns)
+                for doc, got in zip(ids, encoder.encode([t or "" for t in texts])):
                     got, done = np.append(got, np.uint32(separator)).astype(DTYPE), 0
                     while done < len(got):
                         some = got[done : done + BLOCK - size]

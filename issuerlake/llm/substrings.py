@@ -39,7 +39,7 @@ from issuerlake.llm.shared import materialize
 #: Words of an anchor, at most.
 ANCHOR = 5
 #: Chunks of text in which paths with the same words are found before any shuffle.
-CHUNKS = 8
+CHUNKS = 32
 
 
 def _minima(x: np.ndarray, width: int) -> np.ndarray:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer document is handled alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _BYTE = np.arange(256)
 #: Separators of words `[^\x20\x09-\x0D]+`.

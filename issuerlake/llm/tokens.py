@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 #: Pieces remembered by a worker, at most; then it starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 
 _JOINED = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
