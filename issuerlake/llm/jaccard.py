@@ -253,31 +253,31 @@ def similar_sets(
     tasks = asked.groupBy(*key).agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).where("c_low < c_high")
     asked = materialize(asked.join(tasks.select(*key), key), "asked")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch], narrow: bool = False) -> Iterator[pa.RecordBatch]:
         """Rows of one pair of blocks stand together, by fragment; at most about 2 * BLOCK documents are held."""
         names = ["side", "d", "n", "c", "fragment", "grams"]
 
-        def groups():
+        def groups(batches):
             last, held = None, []
             for batch in batches:
-                keys = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in key)))
+                keys = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in ("task", *key))))
                 rows = list(zip(*(batch.column(x).to_numpy(zero_copy_only=False).tolist() for x in names[:-1]), batch.column("grams")))
                 for k, row in zip(keys, rows):
                     if k != last and held:
-                        yield held
+                        yield last[0], held
                         held = []
                     last = k
                     held.append(row)
             if held:
-                yield held
+                yield last[0], held
 
-        for held in groups():
+        for task, held in groups(batches):
             docs_ = sorted({(r[0], r[1], r[2], r[3]) for r in held})
             at = {(r[0], r[1]): i for i, r in enumerate(docs_)}
             cross = docs_[-1][0] == 1
             split = sum(1 for r in docs_ if r[0] == 0)
             common = np.zeros((split, len(docs_) - split if cross else split))
-            for k in range(FRAGMENTS):
+            for k in range(1) if narrow else range(FRAGMENTS):
                 mine = [(at[r[0], r[1]], r[5].values.to_numpy()) for r in held if r[4] == k]
                 who = np.repeat([i for i, _ in mine], [len(g) for _, g in mine]).astype(np.int64)
                 grams, place, seen = np.unique(np.concatenate([g for _, g in mine]) if mine else np.zeros(0, np.int64), return_inverse=True, return_counts=True)
@@ -293,16 +293,36 @@ def similar_sets(
             left, right = docs_[:split], docs_[split:] if cross else docs_
             n, m = np.array([r[2] for r in left], np.int64), np.array([r[2] for r in right], np.int64)
             other = np.array([r[3] for r in left])[:, None] != np.array([r[3] for r in right])[None, :]
+            if narrow:
+                # What a link lets a set lack, its rarest fragment may lack at most.
+                size = np.zeros(len(docs_), np.int64)
+                for r in held:
+                    size[at[r[0], r[1]]] = len(r[5].values)
+                need = -(-percent * (n[:, None] + m[None, :]) // (100 + percent))
+                can = other & (need <= np.minimum(n[:, None], m[None, :]))
+                can &= (common >= size[:split][:, None] - (n[:, None] - need)) & (common >= (size[split:] if cross else size)[None, :] - (m[None, :] - need))
+                stay = {(r[0], r[1]) for r, x in zip(left, can.any(axis=1)) if x} | {(r[0], r[1]) for r, x in zip(right, can.any(axis=0)) if x}
+                kept = [(task, *r[:2]) for r in held if (r[0], r[1]) in stay]
+                if kept:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*kept)], ["narrow_task", "narrow_side", "narrow_d"])
+                continue
             i, j = np.nonzero(other & ((100 + percent) * common >= percent * (n[:, None] + m[None, :])))
             a, b = np.array([r[1] for r in left], np.int64)[i], np.array([r[1] for r in right], np.int64)[j]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def together(asked: DataFrame, cut: DataFrame) -> DataFrame:
+        rows = asked.join(cut, "d").repartition(parts, "task").sortWithinPartitions("task", *key, "fragment")
+        return rows.select("task", *key, "side", "d", "n", "c", "fragment", "grams")
+
     # In rounds: a document's n-grams are copied for every task, and one round's copies are gone before the next begins.
+    # The rarest fragment alone says which documents of two blocks can still have a link; only those are loaded whole.
     for turn in range(ROUNDS):
         now = asked.where(F.pmod(F.shiftright("task", 32), F.lit(ROUNDS)) == turn)
-        filled = now.join(cut, "d").repartition(parts, "task").sortWithinPartitions("task", *key, "fragment")
-        filled = filled.select(*key, "side", "d", "n", "c", "fragment", "grams")
+        stay = together(now, cut.where("fragment = 0")).mapInArrow(lambda x: compare(x, True), "narrow_task long, narrow_side long, narrow_d long")
+        stay = materialize(stay, "narrowed")
+        same = (now["task"] == stay["narrow_task"]) & (now["side"] == stay["narrow_side"]) & (now["d"] == stay["narrow_d"])
+        filled = together(now.join(stay, same, "left_semi"), cut)
         links = links.unionByName(materialize(filled.mapInArrow(compare, "a long, b long").distinct(), "links"))
     named = components(links).select(F.col("id").alias("node"), "component")
 
