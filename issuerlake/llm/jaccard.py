@@ -13,7 +13,9 @@ and summed per pair.
 * Equal sets are one class before any pair is formed.
 * Prefix n-grams of few documents give pairs outright, at most ``FEW`` for each. A
   pair must share more prefix n-grams than what lies beyond the prefixes can make up
-  for, so unrelated pairs end here.
+  for, so unrelated pairs end here. Prefix n-grams of many documents count as shared
+  as far as both sets have some: a pair that shares n-grams of both kinds is settled
+  here, and only pairs that share none of few documents depend on what follows.
 * Prefix n-grams of many documents (large groups of near copies) give no pairs.
   First every document is only compared with the smallest one that shares the
   n-gram. What is linked by then needs no further comparison. The documents of the
@@ -155,7 +157,8 @@ def similar_sets(
     reps = sets.where("n > 0").withColumn("k", F.row_number().over(ranked)).where("k = 1")
     posts = reps.select("doc_id", "n", F.posexplode("prefix").alias("i", "gram"))
     several = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "n", "i")).alias("centre")).where("m > 1")
-    posts = materialize(posts.join(several, "gram"), "posts")
+    often = F.count(F.when(F.col("m") > FEW, 1)).over(Window.partitionBy("doc_id"))
+    posts = materialize(posts.join(several, "gram").withColumn("often", often), "posts")
 
     def enough(na: Column, nb: Column, common: Column) -> Column:
         return (100 + percent) * common >= percent * (na + nb)
@@ -172,9 +175,12 @@ def similar_sets(
     x, y = small.alias("x"), small.alias("y")
     both = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
-    both = both.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count(F.lit(1)).alias("shared"))
-    # Pairs that also share an n-gram of many documents may count too little here; those n-grams compare them below.
-    pairs = both.where(enough(F.col("na"), F.col("nb"), F.col("shared") + F.greatest(beyond(F.col("na")), beyond(F.col("nb"))))).drop("shared")
+    both = both.groupBy(
+        F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.least("x.often", "y.often").alias("often")
+    ).agg(F.count(F.lit(1)).alias("shared"))
+    # The positional bound below holds at the first shared n-gram only, so these pairs are judged here, whatever else they share.
+    most = F.col("shared") + F.col("often") + F.greatest(beyond(F.col("na")), beyond(F.col("nb")))
+    pairs = both.where(enough(F.col("na"), F.col("nb"), most)).drop("shared", "often")
     c = F.col("centre")
     near = many.where((F.col("doc_id") != c["doc_id"]) & possible(F.col("n"), c["n"], F.col("i"), c["i"]))
     near = near.select(c["doc_id"].alias("a"), F.col("doc_id").alias("b"), c["n"].alias("na"), F.col("n").alias("nb"))
@@ -217,7 +223,7 @@ def similar_sets(
     named = components(links).select(F.col("id").alias("node"), "component")
 
     # N-grams of many documents in several components, in blocks of documents that share their most frequent one.
-    posts = many.drop("m", "centre").join(named, many["doc_id"] == named["node"], "left").select("gram", "doc_id", "n", "i", F.coalesce("component", "doc_id").alias("c"))
+    posts = many.drop("m", "centre", "often").join(named, many["doc_id"] == named["node"], "left").select("gram", "doc_id", "n", "i", F.coalesce("component", "doc_id").alias("c"))
     posts = materialize(posts, "named")
     mixed = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     posts = materialize(posts.join(mixed.select("gram", "m"), "gram"), "open")
