@@ -5,8 +5,9 @@ that is no letter is one blank), counted over all learning texts by Spark. The
 models are kept as one sorted array of the trigram codes that any language has, with
 a column of log-probabilities per language; other trigrams back off to bigrams.
 A text gets the language with the lowest cross-entropy per symbol. It is rejected
-if it has no letter, or if its cross-entropy is above what was calibrated on
-learning texts of that language.
+if it has no letter, or if its cross-entropy is above the limit of that language,
+which is calibrated on all learning texts: ``MARGIN`` above the cross-entropy that
+``USUAL`` percent of the language's texts keep below in their own language.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ from issuerlake.llm.shared import Shared
 UNKNOWN = "und"
 #: Symbols: blank, a-z, and the 128 bytes of other characters.
 SYMBOLS = 1 + 26 + 128
-#: Learning texts that the rejection limits are taken from, at most.
-CALIBRATION = 2000
 #: Texts of fewer symbols are not rejected for their cross-entropy: it says little.
 SHORT = 40
-#: Bits per symbol above the calibrated quantile.
-MARGIN = 2.0
+#: Percent of a language's learning texts that set its limit; the rest may be junk.
+USUAL = 99
+#: Bits per symbol above that. At sf0.1 a limit is 5.5 to 5.7 bits: the oddest learning text has 5.1, random letters have 9.
+MARGIN = 3.0
+#: Steps of a bit in which cross-entropies are counted.
+STEPS = 64
+#: Limit where no text is long enough to measure: bits of symbols drawn evenly.
+EVEN = float(np.log2(SYMBOLS))
 
 _CLASS = np.zeros(256, np.int32)
 _CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = np.arange(1, 27)
@@ -123,14 +128,33 @@ def kneser_ney(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
         gammas.append(-np.log2(gamma))
         lows.append(-np.log2(low))
     stack = lambda x: np.array(x, np.float32) if x else np.zeros((0, 0), np.float32)
-    return Model(languages, codes, stack(logs), stack(gammas), stack(lows), np.full(len(languages), np.inf))
+    return Model(languages, codes, stack(logs), stack(gammas), stack(lows), np.full(len(languages), EVEN))
 
 
-def learn(docs: DataFrame, calibration: int = CALIBRATION) -> Model:
-    """Models of every non-null ``lang`` of ``docs``, counted over all its texts.
+def limits(languages: int, own: np.ndarray, steps: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Limits from how many texts (``n``) of which language (``own``) have a cross-entropy of ``steps``.
 
-    What comes to the driver are counts of trigram codes: at most SYMBOLS ** 3 for a
-    language, however much text there is.
+    A language's limit is not below that of all texts taken together, which is also
+    the limit of a language without a measured text: few texts, of which the model
+    was learned, say too little about others. No text at all: ``EVEN``.
+    """
+
+    def usual(some: np.ndarray) -> float:
+        order = np.argsort(steps[some])
+        total = np.cumsum(n[some][order])
+        return steps[some][order][np.searchsorted(total, -(-USUAL * total[-1] // 100))] / STEPS
+
+    if not len(n):
+        return np.full(languages, EVEN)
+    least = usual(np.ones(len(n), bool))
+    return np.array([max(least, usual(own == k)) if (own == k).any() else least for k in range(languages)]) + MARGIN
+
+
+def learn(docs: DataFrame) -> Model:
+    """Models of every non-null ``lang`` of ``docs``, counted over all its texts; so are the rejection limits.
+
+    What comes to the driver are counts of trigram codes, at most SYMBOLS ** 3 for a
+    language, and of cross-entropies in steps, however much text there is.
     """
     docs = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
@@ -147,7 +171,7 @@ def learn(docs: DataFrame, calibration: int = CALIBRATION) -> Model:
                     code, n = np.unique(got, return_counts=True)
                     total[x] = _add(have, code, n)
         for x, (code, n) in ((x, v) for x, v in total.items() if len(v)):
-            yield pa.RecordBatch.from_arrays([pa.array([x] * len(code)), pa.array(code, pa.int32()), pa.array(n, pa.int64())], ["lang", "code", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([x] * len(code), pa.string()), pa.array(code, pa.int32()), pa.array(n, pa.int64())], ["lang", "code", "n"])
 
     def _add(have, code, n):
         if not len(have):
@@ -160,20 +184,21 @@ def learn(docs: DataFrame, calibration: int = CALIBRATION) -> Model:
     lang, code, n = np.array(got.column(0).to_pylist(), object), got.column(1).to_numpy(), got.column(2).to_numpy()
     counts = {x: (code[lang == x].astype(np.int64), n[lang == x]) for x in set(lang.tolist())}
     model = kneser_ney(counts)
-    if counts and calibration:
-        few = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration).withColumnRenamed("doc_id", "few_id")
+    if counts:
         shared = Shared(docs.sparkSession, model)
 
         def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at = {x: k for k, x in enumerate(shared.value.languages)}
             for batch in batches:
                 bits, size = shared.value.entropies(batch.column(1))
-                own = [shared.value.languages.index(x) for x in batch.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits[np.arange(len(own)), own]), pa.array(size)], ["lang", "bits", "size"])
-
-        some = docs.join(F.broadcast(few), docs["doc_id"] == few["few_id"]).select("lang", "text")  # at most `calibration` ids
-        usual = some.mapInArrow(measure, "lang string, bits double, size long").where(f"size >= {SHORT}")
-        for row in usual.groupBy("lang").agg(F.max("bits").alias("limit")).collect():
-            model.limits[model.languages.index(row["lang"])] = row["limit"] + MARGIN
+                own = np.array([at.get(x, -1) for x in batch.column(0).to_pylist()], np.int32)
+                long = np.flatnonzero((size >= SHORT) & (own >= 0))
+                steps = np.ceil(bits[long, own[long]] * STEPS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own[long]), pa.array(steps)], ["own", "steps"])
+
+        measured = docs.select("lang", "text").mapInArrow(measure, "own int, steps long")
+        got = measured.groupBy("own", "steps").agg(F.count(F.lit(1)).alias("n")).toArrow()
+        model.limits = limits(len(model.languages), *(got.column(k).to_numpy() for k in range(3)))
     return model
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from issuerlake.llm.jaccard import similar_sets
+from issuerlake.llm.language import identify, learn
 from test_llm import jaccard_classes
 
 
@@ -18,3 +21,22 @@ def test_jaccard_of_pairs_that_share_rare_and_frequent_grams(spark, ids):
     assert want[ids[1]] == (100, ids[0])
     got = similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_limits_of_rare_languages_in_large_tables(spark):
+    """A language of three texts among 6,000, of the ids that come last by hash, and one of short texts only, reject noise as others do."""
+    rng = np.random.default_rng(1)
+    words = {x: ["".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(60)] for x, letters in (("aa", "aeiourstln"), ("bb", "äöykptvhmi"), ("cc", "ūžšėčąqwxz"))}
+    say = lambda x, n: " ".join(rng.choice(words[x], n))
+    rare = [r.id for r in spark.range(6000).orderBy(F.xxhash64("id").desc()).limit(3).collect()]
+    rows = [(i, say("bb", 60), "bb") if i in rare else (i, say("aa", 15), "aa") for i in range(6000)]
+    rows += [(6000 + i, say("cc", 2)[:12], "cc") for i in range(5)] + [(7000, "1234 !!", "dd")]
+    model = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "bb", "cc"] and np.isfinite(model.limits).all()
+    clean = [say("aa", 30), say("bb", 30), say("bb", 200), "bb?"]
+    noise = ["".join(chr(x) for x in rng.integers(low, high, 300)) for low, high in ((0x430, 0x450), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0x3B1, 0x3C9))]
+    noise += ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 300)) for _ in range(4)]
+    asked = spark.createDataFrame(list(enumerate(clean + noise)), "doc_id long, text string")
+    got = {r.doc_id: r for r in identify(asked, model).collect()}
+    assert [got[i].rejected for i in range(len(clean + noise))] == [False] * len(clean) + [True] * len(noise)
+    assert [got[i].lang_pred for i in range(3)] == ["aa", "bb", "bb"]
