@@ -6,9 +6,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from issuerlake.llm import search
 from issuerlake.llm.jaccard import similar_sets
 from issuerlake.llm.language import identify, learn
-from test_llm import jaccard_classes
+from issuerlake.llm.queries import QUERIES
+from test_llm import FOLDER, jaccard_classes
 
 
 @pytest.mark.parametrize("ids", [(0, 1), (98, 99)])
@@ -40,3 +42,26 @@ def test_limits_of_rare_languages_in_large_tables(spark):
     got = {r.doc_id: r for r in identify(asked, model).collect()}
     assert [got[i].rejected for i in range(len(clean + noise))] == [False] * len(clean) + [True] * len(noise)
     assert [got[i].lang_pred for i in range(3)] == ["aa", "bb", "bb"]
+
+
+def test_search_of_several_shards_ranks_near_ties_alike(spark, monkeypatch):
+    """Scores that differ in the seventh digit only are equal, and ranked by doc_id, whatever the number of shards and groups."""
+    rows = [(i, "common " + f"f{i} " * (9000 + (i < 20))) for i in range(42)] + [(100 + i, f"f{i} common") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "common"), (2, "common f1 f7"), (3, "f30"), (4, "none"), (5, None)], "doc_id long, text string")
+    one = sorted(map(tuple, search.top_k(docs, asked, 6).collect()))
+    assert [r[2] for r in one if r[0] == 1] == [100, 101, 102, 0, 1, 2]
+    monkeypatch.setattr(search, "SHARD", 6)
+    monkeypatch.setattr(search, "GROUP", 2)
+    assert sorted(map(tuple, search.top_k(docs, asked, 6).collect())) == one
+    monkeypatch.setattr(search, "SHARD", 1000)
+    monkeypatch.setattr(search, "POSTINGS", 10)
+    assert sorted(map(tuple, search.top_k(docs, asked, 6).collect())) == one
+
+
+def test_search_query_asks_whole_documents(spark):
+    ids = {r.doc_id for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id").collect()}
+    got = QUERIES["op10_search"](spark, FOLDER).collect()
+    asked = {r.query_id for r in got}
+    assert asked and all(q % 20 == 0 for q in asked) and {r.doc_id for r in got} <= ids
+    assert all(r.score > 0 for r in got) and max(r["rank"] for r in got) == 10
