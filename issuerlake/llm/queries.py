@@ -13,6 +13,7 @@ from issuerlake.llm.jaccard import similar_sets
 from issuerlake.llm.language import identify, learn
 from issuerlake.llm.licenses import license_scan
 from issuerlake.llm.mixing import quality_domains, rates
+from issuerlake.llm.pieces import encode
 from issuerlake.llm.search import top_k
 from issuerlake.llm.shared import scratch
 from issuerlake.llm.substrings import without_repeats
@@ -132,3 +133,13 @@ def op10_search(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents whose id is divisible by 20, against all documents."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return top_k(docs, docs.where("doc_id % 20 = 0"), k=10)
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    found = encode(table(spark, folder, "documents"), tokenizer_path(PIECES), decoded=True)
+    ids = F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -67,3 +67,9 @@ class Shared:
         if self._value is None:
             self._value = pickle.loads(self._sent.value)
         return self._value
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that is not read again."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
