@@ -13,6 +13,7 @@ from issuerlake.llm.jaccard import similar_sets
 from issuerlake.llm.language import identify, learn
 from issuerlake.llm.licenses import license_scan
 from issuerlake.llm.mixing import quality_domains, rates
+from issuerlake.llm.pairbounds import ranked
 from issuerlake.llm.pieces import encode
 from issuerlake.llm.search import top_k
 from issuerlake.llm.shared import scratch
@@ -143,3 +144,23 @@ def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     found = encode(table(spark, folder, "documents"), tokenizer_path(PIECES), decoded=True)
     ids = F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256")
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+RANKED_SQL = r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents where text is not null),
+s as (select count(*) as big_n, sum(len(w)) as big_l from d where len(w) > 0),
+q as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark where text is not null),
+t as (select r, doc_id, len(w) as n, unnest(w) as term from d),
+p as (select r, doc_id, n, term, count(*) as tf from t where term in (select term from q) group by all),
+f as (select term, cast(floor(1000 * ln((2.0::double * any_value(big_n) + 2) / (2 * count(*) + 1))) as bigint) as weight from p, s group by term),
+x as (select q.item_id, p.r, p.doc_id, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * cast(big_n as bigint)) // cast(big_l as bigint))))) as bigint) as score
+  from p join f using (term) join q using (term), s group by 1, 2, 3),
+o as (select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id) as rank from x where score > 0)
+select item_id, cast(rank as integer) as rank, cast(doc_id as bigint) as doc_id, score from o where rank <= 10"""
+
+
+@query("op12_ranked_search", RANKED_SQL)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
