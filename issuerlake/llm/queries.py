@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from issuerlake.llm.alignment import alignment
 from issuerlake.llm.counts import document_counts
 from issuerlake.llm.decontaminate import contamination
 from issuerlake.llm.jaccard import similar_sets
@@ -164,3 +165,8 @@ select item_id, cast(rank as integer) as rank, cast(doc_id as bigint) as doc_id,
 @query("op12_ranked_search", RANKED_SQL)
 def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment(table(spark, folder, "documents"), tokenizer_path(), tokenizer_path(PIECES))
