@@ -1,7 +1,7 @@
 """Keyed table maintenance and incremental selection (SNK-2..9, INC-1..3).
 
 Frames in, frames out, plus ``*_into`` forms that maintain a partitioned Parquet
-table: they rewrite only the partitions the updates touch.
+table: they rewrite only the buckets or partitions the updates touch.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from issuerlake.operators.ordering import null_safe, up
+from issuerlake.operators.stored import insert_buckets, upsert_buckets
 from issuerlake.operators.windows import dedupe
 
 
@@ -124,15 +125,18 @@ def _touched(path: str, updates: DataFrame, partition_by: Sequence[str]) -> Data
 
 
 def upsert_into(
-    path: str, updates: DataFrame, keys: Sequence[str], partition_by: Sequence[str], order: Sequence[str] = (), **options
+    path: str, updates: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = (), order: Sequence[str] = (),
+    buckets: int | None = None, **options
 ) -> None:
-    """SNK-2 on a stored table partitioned by columns of its key.
+    """SNK-2 on a stored table, in hash buckets of the key (``operators.stored``) unless partition columns are named.
 
-    Only partitions named by the updates are replaced (dynamic partition overwrite);
+    With ``partition_by``, columns of the key, only partitions named by the updates are replaced (dynamic partition overwrite);
     finding them reads the table's partition columns. With ``order``, an update that
     is older than the stored row of its key changes nothing, so the result does not
     depend on how updates are split into batches. Running it twice leaves the same rows.
     """
+    if not partition_by:
+        return upsert_buckets(path, updates, keys, buckets, order, **options)
     missing = set(partition_by) - set(keys)
     if missing:
         raise ValueError(f"partition columns must belong to the key: {sorted(missing)}")
@@ -146,9 +150,12 @@ def upsert_into(
 
 
 def insert_new_into(
-    path: str, updates: DataFrame, keys: Sequence[str], partition_by: Sequence[str], order: Sequence[str] = ()
+    path: str, updates: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = (), order: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> None:
-    """SNK-4 on a stored table: absent rows are appended, present partitions are not rewritten."""
+    """SNK-4 on a stored table, bucketed or partitioned: absent rows are appended, nothing is rewritten."""
+    if not partition_by:
+        return insert_buckets(path, updates, keys, buckets, order)
     known = _touched(path, updates, partition_by).select(*keys).distinct().alias("t")
     fresh = last_update_wins(updates, keys, order).alias("u").join(known, null_safe("u", "t", keys), "left_anti")
     fresh.select("u.*").write.mode("append").partitionBy(*partition_by).parquet(path)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from issuerlake.operators import stored
 from issuerlake.operators import tables as X
 from issuerlake.plans.catalog.base import query
-from issuerlake.session import ensure_checkpoint_dir
+from issuerlake.session import scratch_folder
 from issuerlake.streaming.ingest import ingest_available, upserting
 
 _KEY = ["o_orderkey"]
@@ -126,15 +125,56 @@ select user_id, day, event_id, value from (select user_id, strftime(ts, '%Y-%m-%
 """)
 def _(t):
     """Events as landing files: streamed into a stored table, newest event per user and day."""
-    root = f"{ensure_checkpoint_dir(t.spark)}/streamed-history-{uuid.uuid4().hex}"
+    root = scratch_folder(t.spark, "streamed-history")
     table = f"{root}/table"
 
     def clean(df):
         return df.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", "value")
 
     ingest_available(
-        t.spark, t.folder, t.events.schema, upserting(table, ["user_id", "day"], ["day"], clean, order=["event_id"]),
+        t.spark, t.folder, t.events.schema, upserting(table, ["user_id", "day"], clean=clean, order=["event_id"], buckets=8),
         f"{root}/checkpoint", fmt="parquet", pathGlobFilter="events.parquet",
     )
-    schema = "user_id long, event_id long, value double, day string"
-    return t.spark.read.schema(schema).parquet(table).select("user_id", "day", "event_id", "value")
+    return stored.read_table(t.spark, table).select("user_id", "day", "event_id", "value")
+
+
+_PAD = "lpad(cast({} as varchar), 10, '0')"
+_STORED_SQL = f"""t as (select {_PAD.format("o_orderkey")} as code, nullif(substr(o_orderpriority, 1, 1), '1') as line, o_totalprice as price, o_orderstatus as status from orders),
+u as (select {_PAD.format("l_orderkey")} as code, nullif(cast(l_linenumber as varchar), '1') as line, max(l_extendedprice) as price from lineitem group by 1, 2)"""
+
+
+def _first(t):
+    """Keys with leading zeros, and a part that may be null."""
+    code = F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("code")
+    return t.orders.select(code, F.nullif(F.substring("o_orderpriority", 1, 1), F.lit("1")).alias("line"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
+
+
+def _second(t):
+    code = F.lpad(F.col("l_orderkey").cast("string"), 10, "0").alias("code")
+    line = F.nullif(F.col("l_linenumber").cast("string"), F.lit("1")).alias("line")
+    return t.lineitem.select(code, line, F.col("l_extendedprice").alias("price"))
+
+
+@query("stored_upserts", f"""
+with {_STORED_SQL} select coalesce(t.code, u.code) as code, coalesce(t.line, u.line) as line, case when u.price is null or t.price > u.price then t.price else u.price end as price, status
+from t full join u on u.code = t.code and u.line is not distinct from t.line
+""")
+def _(t):
+    """Orders stored, then all line items upserted; keys have leading zeros and null parts. The dearer row of a key is the newer one. The second write runs twice."""
+    path = scratch_folder(t.spark, "stored-upserts")
+    X.upsert_into(path, _first(t), ["code", "line"], buckets=8)
+    for _ in range(2):
+        X.upsert_into(path, _second(t), ["code", "line"], order=["price"])
+    return stored.read_table(t.spark, path)
+
+
+@query("stored_inserts", f"""
+with {_STORED_SQL} select code, line, price, status from t
+union all select code, line, price, null from u where not exists (select 1 from t where t.code = u.code and t.line is not distinct from u.line)
+""")
+def _(t):
+    path = scratch_folder(t.spark, "stored-inserts")
+    X.insert_new_into(path, _first(t), ["code", "line"], buckets=8)
+    for _ in range(2):
+        X.insert_new_into(path, _second(t), ["code", "line"], order=["price"])
+    return stored.read_table(t.spark, path)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +48,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context.setCheckpointDir(folder)
     return folder
 
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, removed when this program ends: results that are read later may still lie in it."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+
+    def remove() -> None:
+        try:
+            target.getFileSystem(settings).delete(target, True)
+        except Exception:  # the Java side has ended first
+            pass
+
+    atexit.register(remove)
+    return path

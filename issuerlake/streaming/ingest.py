@@ -34,9 +34,9 @@ def ingest_available(
 
 
 def upserting(
-    table: str, keys: Sequence[str], partition_by: Sequence[str], clean: Callable[[DataFrame], DataFrame] = lambda df: df, **options
+    table: str, keys: Sequence[str], partition_by: Sequence[str] = (), clean: Callable[[DataFrame], DataFrame] = lambda df: df, **options
 ) -> Callable[[DataFrame, int], None]:
-    """A sink that cleans a batch and upserts it into a stored table."""
+    """A sink that cleans a batch and upserts it into a stored table; without partition columns only touched buckets are opened."""
 
     def apply(batch: DataFrame, _: int) -> None:
         upsert_into(table, clean(batch), keys, partition_by, **options)
@@ -45,7 +45,7 @@ def upserting(
 
 
 def inserting(
-    table: str, keys: Sequence[str], partition_by: Sequence[str], clean: Callable[[DataFrame], DataFrame] = lambda df: df, **options
+    table: str, keys: Sequence[str], partition_by: Sequence[str] = (), clean: Callable[[DataFrame], DataFrame] = lambda df: df, **options
 ) -> Callable[[DataFrame, int], None]:
     """A sink that appends only rows whose key the stored table lacks."""
 
