@@ -150,11 +150,30 @@ NEVER_FILLED = {
 }
 
 
-def _source(df: DataFrame, name: str, date: str, columns: dict[str, Column], seq: str, key: str) -> DataFrame:
-    return df.select(
-        F.col(key), date10(date).alias("data_referencia"), F.col(seq).alias("_seq"),
-        F.struct(*[c.alias(out) for out, c in columns.items()]).alias(name),
-    ).where(F.coalesce("data_referencia", F.lit("")) != "")
+# The date column of each payload's rows.
+PRICE_DATES = {"chart": "data", "curve": "data_referencia", "prices": "data_referencia", "last": "data_referencia"}
+
+
+def _price_columns(kind: str, at: str = "") -> dict[str, Column]:
+    """Typed columns of a payload's row, whose raw fields lie under ``at``."""
+    raw = lambda c: F.col(at + c)
+    if kind == "chart":
+        return {"pu_par": parse_decimal(raw("valor_pu_historico")), "pu_indicativo": parse_decimal(raw("valor_pu_indicativo"))}
+    if kind == "prices":
+        return {
+            **{out: parse_decimal(raw(c)) for c, out in PRICE_NUMBERS.items()},
+            **{out: raw(c).cast("string") for c, out in PRICE_TEXTS.items()},
+            "pu_indicativo": parse_decimal(raw("pu_indicativo")),
+            "data_ultima_atualizacao": date10(raw("data_ultima_atualizacao")),
+        }
+    curve = {c: parse_decimal(raw(c)) for c in ("pu_par", "vna", "juros")} | {"prazo_remanescente": parse_int(raw("prazo_remanescente"))}
+    if kind == "curve":
+        curve |= {"flag_status": raw("flag_status").cast("string"), "data_ultima_atualizacao": date10(raw("data_ultima_atualizacao"))}
+    return curve
+
+
+def _price_struct(kind: str, at: str = "") -> Column:
+    return F.struct(*[c.alias(out) for out, c in _price_columns(kind, at).items()])
 
 
 def consolidate_history(
@@ -166,32 +185,23 @@ def consolidate_history(
     payloads each column has its own order of preference. The four frames are
     stacked and meet in a single grouped aggregate: one shuffle, shrunk map-side.
     """
-    sources = {
-        "chart": _source(chart, "chart", "data", {
-            "pu_par": parse_decimal("valor_pu_historico"),
-            "pu_indicativo": parse_decimal("valor_pu_indicativo"),
-        }, seq, key),
-        "curve": _source(curve, "curve", "data_referencia", {
-            "pu_par": parse_decimal("pu_par"), "vna": parse_decimal("vna"), "juros": parse_decimal("juros"),
-            "prazo_remanescente": parse_int("prazo_remanescente"),
-            "flag_status": F.col("flag_status").cast("string"),
-            "data_ultima_atualizacao": date10("data_ultima_atualizacao"),
-        }, seq, key),
-        "prices": _source(prices, "prices", "data_referencia", {
-            **{out: parse_decimal(c) for c, out in PRICE_NUMBERS.items()},
-            **{out: F.col(c).cast("string") for c, out in PRICE_TEXTS.items()},
-            "pu_indicativo": parse_decimal("pu_indicativo"),
-            "data_ultima_atualizacao": date10("data_ultima_atualizacao"),
-        }, seq, key),
-        "last": _source(last, "last", "data_referencia", {
-            "pu_par": parse_decimal("pu_par"), "vna": parse_decimal("vna"), "juros": parse_decimal("juros"),
-            "prazo_remanescente": parse_int("prazo_remanescente"),
-        }, seq, key),
-    }
     stacked = None
-    for frame in sources.values():
-        stacked = frame if stacked is None else stacked.unionByName(frame, allowMissingColumns=True)
+    for kind, frame in {"chart": chart, "curve": curve, "prices": prices, "last": last}.items():
+        rows = frame.select(
+            F.col(key), date10(PRICE_DATES[kind]).alias("data_referencia"), F.col(seq).alias("_seq"), _price_struct(kind).alias(kind)
+        )
+        stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
+    return _consolidated_days(stacked, key)
+
+
+def consolidate_price_rows(rows: DataFrame, key: str = "ticker_deb") -> DataFrame:
+    """MRG-5 over the tagged union of all payloads (``sources.market.price_rows``): its input is read once."""
+    dates = F.coalesce(*[F.col(f"{kind}.{c}") for kind, c in PRICE_DATES.items()])
+    structs = [F.when(F.col("kind") == kind, _price_struct(kind, f"{kind}.")).alias(kind) for kind in PRICE_DATES]
+    return _consolidated_days(rows.select(key, date10(dates).alias("data_referencia"), F.col("seq").alias("_seq"), *structs), key)
+
 
+def _consolidated_days(stacked: DataFrame, key: str) -> DataFrame:
     def final(source: str) -> Column:
         return F.max_by(source, F.when(F.col(source).isNotNull(), F.col("_seq"))).alias(source)
 
@@ -199,7 +209,8 @@ def consolidate_history(
         value = F.col(f"{source}.{field}")
         return F.min_by(value, F.when(value.isNotNull(), F.col("_seq")))
 
-    grouped = stacked.groupBy(key, "data_referencia").agg(
+    dated = stacked.where(F.coalesce("data_referencia", F.lit("")) != "")
+    grouped = dated.groupBy(key, "data_referencia").agg(
         final("chart"), final("curve"), final("prices"), final("last"),
         first_known("curve", "pu_par").alias("_curve_pu"),
         first_known("prices", "pu_indicativo").alias("_price_pu"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from issuerlake.functions.cleaning import digits, norm_code
 from issuerlake.operators.aggregates import unnest_statements
 from issuerlake.operators.filters import keep_codes
-from issuerlake.operators.merges import consolidate_history, consolidate_rows, override_periods
+from issuerlake.operators.merges import consolidate_price_rows, consolidate_rows, override_periods
 from issuerlake.operators.quality import balance_check, validation_totals
 from issuerlake.operators.tables import write_partitioned
 from issuerlake.sources import dossier, market, statements
@@ -44,7 +44,7 @@ def market_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {
         "deb_caracteristicas": instruments,
         "deb_agenda": market.clean_schedule(market.read_schedule(spark, path)),
-        "deb_historico_diario": consolidate_history(**market.read_prices(spark, path)).withColumn(
+        "deb_historico_diario": consolidate_price_rows(market.read_price_rows(spark, path)).withColumn(
             "data_referencia", F.try_to_date("data_referencia", "yyyy-MM-dd")
         ),
     }
@@ -52,4 +52,4 @@ def market_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def compact_payloads(spark: SparkSession, path: str, out: str) -> None:
     """SNK-8: the raw price payloads of every instrument as one history folder each. Inputs stay where they are."""
-    write_partitioned(consolidate_history(**market.read_prices(spark, path)), out, ["ticker_deb"])
+    write_partitioned(consolidate_price_rows(market.read_price_rows(spark, path)), out, ["ticker_deb"])

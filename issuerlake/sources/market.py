@@ -74,43 +74,87 @@ def _list_or_field(field: str, row: T.StructType, text: str = "value") -> Column
     return F.coalesce(listed, wrapped)
 
 
-def read_characteristics(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
-    """SRC-5: raw characteristics, one file per instrument folder.
+def parse_characteristics(payloads: DataFrame, key: str = "ticker", text: str = "value") -> DataFrame:
+    """SRC-5: JSON texts of characteristics as raw rows.
 
-    ``indexador`` may be an object or a plain value and is kept as VARIANT.
+    ``indexador`` and ``lei`` may be objects or plain values and are kept as VARIANT.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "caracteristicas.json")
-    return reader.json(path, schema=CHARACTERISTICS, multiLine=True).select(folder_key().alias(key), "*")
+    return payloads.select(key, F.from_json(text, CHARACTERISTICS).alias("_c")).select(key, "_c.*")
+
+
+def read_characteristics(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
+    """SRC-5: raw characteristics, one file per instrument folder."""
+    return parse_characteristics(_whole_files(spark, path, key, "caracteristicas.json"), key)
+
+
+def parse_schedule(payloads: DataFrame, key: str = "ticker", text: str = "value") -> DataFrame:
+    """SRC-6: raw events of JSON texts, objects with ``content`` or bare arrays, with their position."""
+    return payloads.select(key, F.posexplode(_list_or_field("content", EVENT, text)).alias("seq", "_e")).select(key, "seq", "_e.*")
 
 
 def read_schedule(spark: SparkSession, path: str, key: str = "ticker") -> DataFrame:
-    """SRC-6: raw events from an object with ``content`` or a bare array, with their position."""
-    files = _whole_files(spark, path, key, "agenda.json")
-    return files.select(key, F.posexplode(_list_or_field("content", EVENT)).alias("seq", "_e")).select(key, "seq", "_e.*")
+    """SRC-6: raw events, one file per instrument folder."""
+    return parse_schedule(_whole_files(spark, path, key, "agenda.json"), key)
+
+
+# File of each price payload, its field, and the kind of its rows.
+_CHART_FILE, _CURVE_FILE, _PRICES_FILE = "grafico_pu.json", "pu_historico.json", "precos.json"
+PRICE_KINDS = {
+    "chart": (_CHART_FILE, "pus", CHART_ROW), "curve": (_CURVE_FILE, "content", CURVE_ROW),
+    "prices": (_PRICES_FILE, "precos", PRICE_ROW), "last": (_PRICES_FILE, "pu_historico", LAST_ROW),
+}
+
+
+def price_rows(payloads: DataFrame, key: str = "ticker_deb", name: str = "name", text: str = "value") -> DataFrame:
+    """SRC-7: rows of all price payloads as one tagged union: ``key, kind, seq`` and a struct per kind, null but for the row's own.
+
+    Every text is parsed once, by a schema of all payload shapes, and exploded once;
+    ``name`` (a file name) tells which fields count. ``seq`` is the position in its list.
+    """
+    shapes = [T.StructField(field, row if kind == "last" else T.ArrayType(row)) for kind, (_, field, row) in PRICE_KINDS.items()]
+    parsed = payloads.select(key, name, F.from_json(text, T.StructType(shapes)).alias("_p"))
+    layout = "array<struct<kind: string, seq: int, " + ", ".join(f"{kind}: {row.simpleString()}" for kind, (_, _, row) in PRICE_KINDS.items()) + ">>"
+
+    def tagged(kind: str, row: Column, seq: Column) -> Column:
+        fields = [(row if other == kind else F.lit(None).cast(shape)).alias(other) for other, (_, _, shape) in PRICE_KINDS.items()]
+        return F.struct(F.lit(kind).alias("kind"), seq.cast("int").alias("seq"), *fields)
+
+    def each(kind: str):
+        return lambda row, seq: tagged(kind, row, seq)
+
+    lists = []
+    for kind, (file, field, _) in PRICE_KINDS.items():
+        here = (F.col(name) == file) & F.col(f"_p.{field}").isNotNull()
+        if kind == "last":
+            rows = F.array(tagged(kind, F.col(f"_p.{field}"), F.lit(0)))
+        else:
+            rows = F.transform(f"_p.{field}", each(kind))
+        lists.append(F.coalesce(F.when(here, rows).cast(layout), F.array().cast(layout)))
+    return parsed.select(key, F.explode(F.concat(*lists)).alias("_r")).select(key, "_r.*")
+
+
+def read_price_rows(spark: SparkSession, path: str, key: str = "ticker_deb") -> DataFrame:
+    """SRC-7: the tagged rows of all price payload files under ``path``; one scan, each file read once."""
+    names = sorted({file for file, _, _ in PRICE_KINDS.values()})
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{" + ",".join(names) + "}")
+    file = F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name")
+    return price_rows(reader.text(path, wholetext=True).select(folder_key().alias(key), file, "value"), key)
 
 
 def read_prices(spark: SparkSession, path: str, key: str = "ticker_deb") -> dict[str, DataFrame]:
-    """SRC-7: the four raw payloads of daily prices as long frames with their position."""
+    """SRC-7: the four kinds of rows as frames of their own, with their position. A job that needs all four takes ``read_price_rows``."""
+    rows = read_price_rows(spark, path, key)
+    return {kind: rows.where(F.col("kind") == kind).select(key, "seq", f"{kind}.*") for kind in PRICE_KINDS}
 
-    def rows(pattern: str, field: str, row: T.StructType) -> DataFrame:
-        items = F.from_json("value", T.StructType([T.StructField(field, T.ArrayType(row))]))[field]
-        files = _whole_files(spark, path, key, pattern)
-        return files.select(key, F.posexplode(items).alias("seq", "_r")).select(key, "seq", "_r.*")
 
-    last = F.from_json("value", T.StructType([T.StructField("pu_historico", LAST_ROW)]))["pu_historico"]
-    return {
-        "chart": rows("grafico_pu.json", "pus", CHART_ROW),
-        "curve": rows("pu_historico.json", "content", CURVE_ROW),
-        "prices": rows("precos.json", "precos", PRICE_ROW),
-        "last": _whole_files(spark, path, key, "precos.json").select(key, F.lit(0).alias("seq"), last.alias("_r"))
-        .where(F.col("_r").isNotNull()).select(key, "seq", "_r.*"),
-    }
+def parse_history(payloads: DataFrame, key: str = "ticker_deb", text: str = "value") -> DataFrame:
+    """SRC-8: consolidated history rows of JSON texts, bare arrays or objects with ``dados``."""
+    return payloads.select(key, F.explode(_list_or_field("dados", HISTORY_ROW, text)).alias("_r")).select(key, "_r.*")
 
 
 def read_history(spark: SparkSession, path: str, key: str = "ticker_deb") -> DataFrame:
-    """SRC-8: consolidated history from a bare array or an object with ``dados``."""
-    files = _whole_files(spark, path, key, "historico_diario.json")
-    return files.select(key, F.explode(_list_or_field("dados", HISTORY_ROW)).alias("_r")).select(key, "_r.*")
+    """SRC-8: consolidated history, one file per instrument folder."""
+    return parse_history(_whole_files(spark, path, key, "historico_diario.json"), key)
 
 
 def _filled(c: str) -> Column:

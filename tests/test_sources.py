@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from issuerlake import schemas
-from issuerlake.operators.merges import consolidate_history
+from issuerlake.operators.merges import consolidate_history, consolidate_price_rows
 from issuerlake.operators.quality import missing_columns
 from issuerlake.operators.tables import append_version, write_manifest
 from issuerlake.operators.windows import latest_per
@@ -179,3 +179,15 @@ def test_versions_are_appended_and_manifests_written(spark, tmp_path):
     links = spark.createDataFrame([("http://h/a.pdf", None, "ok")], "url string, year int, status string")
     write_manifest(links, str(tmp_path / "m"))
     assert [tuple(r) for r in spark.read.schema(links.schema).json(str(tmp_path / "m")).collect()] == [("http://h/a.pdf", None, "ok")]
+
+
+def test_price_files_are_read_once(spark, tmp_path):
+    put(tmp_path, "T1/precos.json", json.dumps({"precos": [{"data_referencia": "2024-01-01", "taxa_indicativa": 5}, {"data_referencia": None}], "pu_historico": {"data_referencia": "2024-01-03", "vna": 2}, "pus": [{"data": "2024-01-09"}]}))
+    put(tmp_path, "T2/pu_historico.json", json.dumps({"content": [{"data_referencia": "2024-01-02", "pu_par": "11,5"}, {"data_referencia": "2024-01-02", "pu_par": 12}], "precos": [{"data_referencia": "2024-01-08"}]}))
+    put(tmp_path, "T2/grafico_pu.json", "no json")
+    rows = market.read_price_rows(spark, str(tmp_path))
+    assert sorted((r.ticker_deb, r.kind, r.seq) for r in rows.collect()) == [("T1", "last", 0), ("T1", "prices", 0), ("T1", "prices", 1), ("T2", "curve", 0), ("T2", "curve", 1)]
+    days = consolidate_price_rows(rows)
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Generate") == 1
+    assert sorted((r.ticker_deb, r.data_referencia, r.pu_par, r.vna, r.taxa_indicativa) for r in days.collect()) == [("T1", "2024-01-01", None, None, 5.0), ("T1", "2024-01-03", None, 2.0, None), ("T2", "2024-01-02", 11.5, None, None)]
