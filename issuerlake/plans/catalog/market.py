@@ -1,4 +1,4 @@
-"""Market payloads (SRC-5..8, PRJ-11..13): the given tables written as JSON texts, parsed and typed.
+"""Statement files and market payloads (SRC-3..8, PRJ-11..13): the given tables written as lines and JSON texts, parsed and typed.
 
 One field is an object in some rows and a plain value in others; dates carry times,
 numbers decimal commas, and some are not numbers at all.
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from issuerlake.operators.merges import consolidate_price_rows
 from issuerlake.plans.catalog.base import query
 from issuerlake.sources import market as X
+from issuerlake.sources import statements as S
 
 
 def _json(*parts: Column | str) -> Column:
@@ -165,3 +166,51 @@ def _(t):
     value = F.when(F.col("user_id") % 2 == 0, _json("[", F.col("list"), "]")).otherwise(_json('{"dados": [', F.col("list"), "]}"))
     found = X.clean_history(X.parse_history(lists.select(F.concat(F.lit("u"), "user_id").alias("ticker_deb"), value.alias("value"))))
     return found.withColumns({c: F.round(c, 4) for c in X.HISTORY_NUMBERS} | {"data_referencia": F.date_format("data_referencia", "yyyy-MM-dd")})
+
+
+@query("statement_lines", """
+select lpad(cast(l_suppkey as varchar), 6, '0') as "CD_CVM", strftime(l_shipdate, '%Y-%m-%d') as "DT_REFER", case when l_linenumber % 3 = 0 then null else l_returnflag end as "ORDEM_EXERC",
+  cast(l_linenumber as varchar) as "CD_CONTA", concat('conta; ', l_orderkey) as "DS_CONTA", cast(cast(l_extendedprice as decimal(15,2)) as varchar) as "VL_CONTA", concat('f', l_linenumber, l_linestatus) as file_path from lineitem
+""")
+def _(t):
+    """Lines of files with three layouts: columns permuted, columns added, and rows that end early."""
+    n = F.col("l_linenumber")
+    of = {
+        "CD_CVM": F.lpad(F.col("l_suppkey").cast("string"), 6, "0"), "DT_REFER": F.date_format("l_shipdate", "yyyy-MM-dd"), "ORDEM_EXERC": F.col("l_returnflag"),
+        "CD_CONTA": n.cast("string"), "DS_CONTA": F.concat(F.lit("conta; "), "l_orderkey"), "VL_CONTA": F.col("l_extendedprice").cast("decimal(15,2)").cast("string"), "GRUPO": F.lit("x"),
+    }
+    # In the first layout rows stop before the last column of the header.
+    layouts = [["GRUPO", "CD_CVM", "DT_REFER", "CD_CONTA", "DS_CONTA", "VL_CONTA", "ORDEM_EXERC"], list(of), ["GRUPO", "GRUPO", *reversed(list(of)[:6])]]
+
+    def line(values) -> Column:
+        pick = None
+        for k, layout in enumerate(layouts):
+            row = F.array(*[values(c) for c in layout])
+            if k == 0:
+                row = F.slice(row, 1, len(layout) - 1)
+            pick = F.when(n % 3 == k, row) if pick is None else pick.when(n % 3 == k, row)
+        return pick
+
+    file = F.concat(F.lit("f"), n, "l_linestatus").alias("file_path")
+    rows = t.lineitem.select(file, line(lambda c: of[c]).alias("fields"))
+    header = None
+    for k, layout in enumerate(layouts):
+        some = F.when(n % 3 == k, F.array(*[F.lit(c) for c in layout]))
+        header = some if header is None else F.coalesce(header, some)
+    headers = t.lineitem.select(file, header.alias("fields")).distinct()
+    return S.map_columns(rows.unionByName(headers))
+
+
+@query("statement_file_choice", """
+with f as (select distinct case l_linestatus when 'O' then 'DFP' else 'ITR' end as doc_type, ['BPA', 'BPP', 'DRE', 'DFC_MD', 'DFC_MI', 'DVA', 'BPA'][l_linenumber] as tbl,
+  case when l_suppkey % 7 = 0 then 'con' else 'ind' end as scope, cast(year(l_shipdate) as integer) as year, l_suppkey % 5 as folder from lineitem where l_suppkey % 7 <> 0 or l_linenumber > 3)
+select doc_type, tbl as "table", scope, year, concat('file:/a/', folder, '/', lower(doc_type), '_cia_aberta_', tbl, '_', scope, '_', year, '.csv') as path from f
+where scope = 'con' or not exists (select 1 from f g where g.scope = 'con' and g.doc_type = f.doc_type and g.tbl = f.tbl and g.year = f.year)
+""")
+def _(t):
+    """A listing of files of both scopes in several folders; some tables have no consolidated one."""
+    tables = F.array(*[F.lit(x) for x in ("BPA", "BPP", "DRE", "DFC_MD", "DFC_MI", "DVA", "BPA")])
+    scope = F.when(F.col("l_suppkey") % 7 == 0, "con").otherwise("ind")
+    stem = F.concat_ws("_", F.when(F.col("l_linestatus") == "O", "dfp").otherwise("itr"), F.lit("cia_aberta"), F.element_at(tables, F.col("l_linenumber")), scope, F.year("l_shipdate"))
+    name = F.concat(F.lit("file:/a/"), F.col("l_suppkey") % 5, F.lit("/"), F.when((scope == "con") & (F.col("l_linenumber") <= 3), "leia").otherwise(stem), F.lit(".csv"))
+    return S.preferred_files(S.describe_files(t.lineitem.select(name.alias("path")).distinct()))

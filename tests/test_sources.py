@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from issuerlake import schemas
@@ -56,6 +57,16 @@ def test_statement_files_prefer_consolidated(spark, tmp_path):
     assert not any(s[5] == "individual" for s in seen) and len(got) == 5
 
 
+def test_all_tables_are_one_scan(spark, tmp_path):
+    statement_tree(tmp_path)
+    rows = statements.read_statements(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and "Union" not in plan  # lines, and the side table of header lines
+    put(tmp_path, "dfp_cia_aberta_DVA_con_2024.csv", "1;2024-12-31;00123;ÚLTIMO;7;x;1\n", "latin-1")
+    with pytest.raises(Exception, match="no header line"):
+        statements.read_statements(spark, str(tmp_path)).collect()
+
+
 def test_landed_statements(spark, tmp_path):
     put(tmp_path, "dfp/2023/filtrado/BPA_con.csv", "CD_CVM,DT_REFER,ORDEM_EXERC,CD_CONTA,DS_CONTA,VL_CONTA\n1,2023-12-31,ÚLTIMO,1,Ativo,\"10,5\"\n")
     row = statements.read_statements(spark, str(tmp_path), landed=True).collect()[0]
