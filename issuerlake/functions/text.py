@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from issuerlake.functions.cleaning import ColumnOrName, as_column, rstrip, strip
+from issuerlake.functions.cleaning import WHITE_SPACE, ColumnOrName, as_column, rstrip, strip
 
 # Everything that ends a line, and the marks other than a line feed.
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
@@ -74,28 +74,35 @@ def strip_runs(c: ColumnOrName) -> Column:
 
     def cut(line: Column, mark: str) -> Column:
         at = F.instr(line, mark * 8)
-        return rstrip(F.when(at > 0, F.substring(line, F.lit(1), at - 1)).otherwise(line))
+        return F.when(at > 0, F.substring(line, F.lit(1), at - 1)).otherwise(line)
 
-    return cut(cut(as_column(c), "."), "-")
+    # White space before a run goes with it: stripping once, after both cuts, is enough.
+    return rstrip(cut(cut(as_column(c), "."), "-"))
+
+
+def _only(marks: str) -> str:
+    """Pattern of a line that is, once stripped, at least eight of these marks and blanks."""
+    blank = "[" + "".join(rf"\x{{{ord(x):x}}}" for x in WHITE_SPACE) + "]*"
+    return rf"^{blank}[{marks}][{marks} ]{{6,}}[{marks}]{blank}$"
+
+
+_RULE, _TABLE_RULE = _only(r".\-_"), _only(r".\-_|:")
+_TABLE_ROW = "^[" + "".join(rf"\x{{{ord(x):x}}}" for x in WHITE_SPACE) + r"]*\|"
 
 
 def is_noise(c: ColumnOrName) -> Column:
     """TXT-3: a rule, a long run of punctuation, or dots in a row."""
-    line = strip(c)
-    return (
-        line.rlike(r"^[.\-_ ]{8,}$")
-        | ((F.length(line) > 200) & mostly_punct(line))
-        | line.contains("........")
-    )
+    line = as_column(c)
+    return line.contains("........") | line.rlike(_RULE) | ((F.length(line) > 200) & (F.length(strip(line)) > 200) & mostly_punct(line))
 
 
 def is_markdown_noise(raw: ColumnOrName, kept: ColumnOrName, max_length: int = 1200) -> Column:
     """TXT-5: broken table rows and rule lines of generated Markdown."""
-    raw, line = as_column(raw), strip(kept)
+    raw, line = as_column(raw), as_column(kept)
     return (
-        ((F.length(raw) > max_length) & mostly_punct(raw))
-        | (line.startswith("|") & raw.rlike(r"[-.]{20,}"))
-        | line.rlike(r"^[.\-_|: ]{8,}$")
+        line.rlike(_TABLE_RULE)
+        | (line.rlike(_TABLE_ROW) & raw.rlike(r"[-.]{20,}"))
+        | ((F.length(raw) > max_length) & mostly_punct(raw))
     )
 
 

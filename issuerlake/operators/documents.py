@@ -17,6 +17,7 @@ from issuerlake.functions.text import (
     FINANCIAL_PAGE_PHRASES, contains_any, is_markdown_noise, is_noise, split_lines, strip_runs,
 )
 from issuerlake.operators.ordering import up
+from issuerlake.operators.spread import spread
 from issuerlake.operators.windows import dedupe
 
 # Words that mark a sub-page worth visiting.
@@ -53,9 +54,9 @@ def _collapse(lines: Column) -> Column:
     return strip(F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n"))
 
 
-def sanitize_text(df: DataFrame, col: str = "text", removed: str = "removed_lines") -> DataFrame:
-    """TXT-4: extracted text without noise lines, trailing runs and repeated blank lines."""
-    kept = df.withColumn("_lines", F.transform(split_lines(col), strip_runs))
+def sanitize_text(df: DataFrame, col: str = "text", removed: str = "removed_lines", key: str | None = None) -> DataFrame:
+    """TXT-4: extracted text without noise lines, trailing runs and repeated blank lines. With ``key``, rows are spread by it first."""
+    kept = spread(df, key).withColumn("_lines", F.transform(split_lines(col), strip_runs))
     clean = kept.withColumn("_clean", F.filter("_lines", lambda x: ~is_noise(x)))
     return (
         clean.withColumn(removed, F.size("_lines") - F.size("_clean"))
@@ -64,9 +65,9 @@ def sanitize_text(df: DataFrame, col: str = "text", removed: str = "removed_line
     )
 
 
-def sanitize_markdown(df: DataFrame, col: str = "markdown", removed: str = "removed_lines") -> DataFrame:
-    """TXT-5: generated Markdown without broken tables, rule lines and repeated blank lines."""
-    kept = df.withColumn(
+def sanitize_markdown(df: DataFrame, col: str = "markdown", removed: str = "removed_lines", key: str | None = None) -> DataFrame:
+    """TXT-5: generated Markdown without broken tables, rule lines and repeated blank lines. With ``key``, rows are spread by it first."""
+    kept = spread(df, key).withColumn(
         "_lines", F.transform(split_lines(col), lambda x: F.struct(x.alias("raw"), strip_runs(x).alias("kept")))
     )
     clean = F.filter("_lines", lambda x: ~is_markdown_noise(x["raw"], x["kept"]))
@@ -159,6 +160,7 @@ def number_tokens(text: ColumnOrName) -> Column:
 
 def number_fidelity(a: DataFrame, b: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """TXT-9: distinct numbers of two versions of each document: counts, differences, intersection."""
+    a, b = spread(a.select(key, text), key), spread(b.select(key, text), key)  # the join needs this shuffle anyway
     left = a.select(key, F.array_distinct(number_tokens(text)).alias("_a"))
     right = b.select(key, F.array_distinct(number_tokens(text)).alias("_b"))
     return left.join(right, key).select(

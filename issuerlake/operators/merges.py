@@ -11,6 +11,7 @@ from issuerlake.functions.cleaning import blank_to_null, date10, digits, norm_co
 from issuerlake.operators.filters import current_period_only, max_level
 from issuerlake.operators.joins import resolve_registry
 from issuerlake.operators.ordering import null_safe
+from issuerlake.operators.spread import spread
 from issuerlake.operators.tables import last_update_wins
 from issuerlake.operators.windows import dedupe
 
@@ -38,7 +39,8 @@ def _statement(c: Column) -> Column:
 
 def account_rows(rows: DataFrame, depth: int = 3, order: Sequence[str] = FILE_ORDER) -> DataFrame:
     """MRG-1: cleaned rows of statement files: depth, current period and numeric value only."""
-    return current_period_only(max_level(rows, depth)).select(
+    dealt = spread(rows, "CD_CVM", "DT_REFER", "CD_CONTA", "VL_CONTA")  # many patterns a row follow
+    return current_period_only(max_level(dealt, depth)).select(
         norm_code("CD_CVM").alias("cod_cvm"),
         F.upper("doc_type").alias("doc_type"),
         F.col("year").cast("int").alias("year"),

@@ -64,7 +64,7 @@ _CLEAN, _REMOVED = sanitize_sql("text")
 with n as (select doc_id, {_NOISY_SQL} as text from documents) select doc_id, md5({_CLEAN}) as clean, {_REMOVED} as removed_lines from n
 """)
 def _(t):
-    return X.sanitize_text(_noisy(t)).select("doc_id", F.md5("text").alias("clean"), "removed_lines")
+    return X.sanitize_text(_noisy(t), key="doc_id").select("doc_id", F.md5("text").alias("clean"), "removed_lines")
 
 
 def _markdown_sql(x: str) -> tuple[str, str]:
@@ -92,7 +92,7 @@ def _markdown(t):
 with n as (select doc_id, {_MD_SQL} as text from documents) select doc_id, md5({_MD_CLEAN}) as clean, {_MD_REMOVED} as removed_lines from n
 """)
 def _(t):
-    return X.sanitize_markdown(_markdown(t)).select("doc_id", F.md5("markdown").alias("clean"), "removed_lines")
+    return X.sanitize_markdown(_markdown(t), key="doc_id").select("doc_id", F.md5("markdown").alias("clean"), "removed_lines")
 
 
 @query("line_noise", f"""

@@ -123,3 +123,13 @@ def test_job_display(spark):
     one = spark.createDataFrame([(progress,)], "p map<string,string>")
     shown = one.select(J.progress_entries("p").alias("x")).collect()[0].x
     assert {e.key: e.value for e in shown} == {"nome_emissor": "X", "cnpj": "12.345.678/0001-90", "dias": "4"}
+
+
+def test_noise_lines_with_outer_white_space(values):
+    """Rules are judged on the stripped line, whatever white space surrounds it."""
+    from issuerlake.functions import text as S
+
+    lines = ["--------", "\u00a0 -------- \t", " -------", "-      -", " -      - ", "- - \t- - - -", "\\\\\\\\\\\\\\\\", "^^^^^^^^", "[[[[[[[[", "_._._._._\u3000", "x" * 300, " " * 300, "  " + "%" * 201, "%" * 200, "a........b", "9999999999", "{{{{{{{{{"]
+    assert values(S.is_noise, lines) == [True, True, False, True, True, False, False, False, False, True, False, False, True, False, True, False, False]
+    assert values(lambda c: S.strip_runs(c), ["a ........ b", "a -------- ........ b", "a ........ --------", "........", "x\u00a0--------", "y .......\t"]) == ["a", "a", "a", "", "x", "y ......."]
+    assert values(lambda c: S.is_markdown_noise(c, c), ["|----------", " |--------------------x", "x|--------------------", "| a |", "\\|--------------------", "|  :  |  :  |\u2003", "\\x--------------------"]) == [True, True, False, False, False, True, False]
