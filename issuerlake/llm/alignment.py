@@ -22,6 +22,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ SPAN = 1 << 16
 #: Fragments joined at once.
 FAN = 16
 #: Bytes of text handled at once, and words remembered by a worker, at most.
-BATCH, REMEMBERED = 1 << 21, 200_000
+BATCH, REMEMBERED = 1 << 21, 300_000
 #: Linked pairs of ids that are sent to all tasks, at most; more are joined.
 HELD = 4_000_000
 
@@ -95,7 +96,7 @@ class Pair:
 
     def closed(self, a: np.ndarray, b: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens (id, end) of whole groups: their text, each group's end and length of text, and linked pairs in order of A."""
-        ends = np.intersect1d(a[:, 1], b[:, 1])
+        ends = _common(a[:, 1], b[:, 1])
         groups = np.concatenate([np.searchsorted(ends, a[:, 1]), np.searchsorted(ends, b[:, 1])])
         second = np.repeat([0, 1], [len(a), len(b)])
         ids = np.concatenate([a[:, 0], b[:, 0]])
@@ -113,6 +114,11 @@ class Pair:
         return b"".join(parts), np.stack([ends, sizes], 1), links, n
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers in both of two rising lists."""
+    return a[b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a] if len(b) else a[:0]
+
+
 def _none() -> np.ndarray:
     return np.zeros((0, 2), np.int64)
 
@@ -150,7 +156,7 @@ def tally(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def fragment(pair: Pair, a: np.ndarray, b: np.ndarray, ok: bool = True) -> Fragment:
     """Tokens of neighbouring bytes, cut at their common ends."""
-    ends = np.intersect1d(a[:, 1], b[:, 1])
+    ends = _common(a[:, 1], b[:, 1])
     if not len(ends):
         return Fragment(ok, False, (a, b), (_none(), _none()))
     cut = lambda x: np.searchsorted(x[:, 1], [ends[0], ends[-1]], "right")
@@ -217,43 +223,58 @@ class Words:
         self.links = np.zeros(0, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        pair = self.pair
-        a, b = pair.encode_a(words), pair.encode_b(words)
+        """Words that begin with a single blank and end with a visible character are encoded a thousand at a time, end to end: both tokenizers cut between them."""
+        plain = [w for w in words if w[0] == " " and len(w) > 1 and not w[1].isspace() and not w[-1].isspace() and MARK not in w]
+        if plain and not self._learn_joined(plain):
+            plain = []
+        known = set(plain)
+        self._learn_apart([w for w in words if w not in known])
+
+    def _learn_joined(self, words: list[str]) -> bool:
+        pair, texts = self.pair, ["".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+        ids = ([i for t in texts for i in pair.a.tokenizer.encode(t, add_special_tokens=False).ids], [i for x in pair.b.encode(texts, num_threads=1) for i in x])
         raw = [w.encode() for w in words]
-        bad = np.array([b"".join([pair.a_bytes[i] for i in x.tolist()]) != w or b"".join([pair.b_bytes[i] for i in y.tolist()]) != w for w, x, y in zip(raw, a, b)])
-        good = [k for k, x in enumerate(bad.tolist()) if not x]
-        numbers = np.zeros((len(words), 5), np.int64)
-        numbers[:, 4] = bad
-        texts = [b""] * len(words)
+        if any(b"".join([known[i] for i in x]) != b"".join(raw) for x, known in zip(ids, (pair.a_bytes, pair.b_bytes))):
+            return False
+        self._add(words, np.fromiter(map(len, raw), np.int64, len(raw)), *[np.array(x, np.int64) for x in ids])
+        return True
+
+    def _learn_apart(self, words: list[str]) -> None:
+        if not words:
+            return
+        pair, raw = self.pair, [w.encode() for w in words]
+        a, b = pair.encode_a(words), pair.encode_b(words)
+        same = [b"".join([pair.a_bytes[i] for i in x.tolist()]) == w and b"".join([pair.b_bytes[i] for i in y.tolist()]) == w for w, x, y in zip(raw, a, b)]
+        good = [k for k, x in enumerate(same) if x]
         if good:
-            ends = np.cumsum([len(raw[k]) for k in good])
-            flat = [np.concatenate([x[k] for k in good]) for x in (a, b)]
-            tokens = [np.stack([x, np.cumsum(size[x])], 1) for x, size in zip(flat, (pair.a_len, pair.b_len))]
-            text, groups, links, n = pair.closed(*tokens)
-            owner = np.searchsorted(ends, tokens[0][:, 1])
-            numbers[good, 0] = [len(a[k]) for k in good]
-            numbers[good, 1] = [len(b[k]) for k in good]
-            where = np.searchsorted(ends, groups[:, 0])
-            numbers[good, 2] = np.bincount(where, minlength=len(good))
-            numbers[good, 3] = np.bincount(owner, n, len(good)).astype(np.int64)
-            at = 0
-            for k, size in zip(good, np.bincount(where, groups[:, 1], len(good)).astype(np.int64).tolist()):
-                texts[k] = text[at : at + size]
-                at += size
-            self.links = np.concatenate([self.links, links])
+            self._add([words[k] for k in good], np.array([len(raw[k]) for k in good]), *[np.concatenate([x[k] for k in good]) for x in (a, b)])
+        bad = [w for w, x in zip(words, same) if not x]
+        self.known.update(zip(bad, range(len(self.texts), len(self.texts) + len(bad))))
+        self.texts += [b""] * len(bad)
+        self.numbers = np.concatenate([self.numbers, np.repeat([[0, 0, 0, 0, 1]], len(bad), 0)])
+
+    def _add(self, words: list[str], sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Remember words of so many bytes whose ids, one word after another, are ``a`` and ``b``."""
+        ends = np.cumsum(sizes)
+        tokens = [np.stack([x, np.cumsum(size[x])], 1) for x, size in ((a, self.pair.a_len), (b, self.pair.b_len))]
+        text, groups, links, n = self.pair.closed(*tokens)
+        a_word, b_word, word = (np.searchsorted(ends, x[:, 1]) for x in (*tokens, groups[:, :1].repeat(2, 1)))
+        counts = [np.bincount(a_word, minlength=len(words)), np.bincount(b_word, minlength=len(words)), np.bincount(word, minlength=len(words)), np.bincount(a_word, n, len(words))]
+        upto = np.cumsum(np.bincount(word, groups[:, 1], len(words)).astype(np.int64)).tolist()
         self.known.update(zip(words, range(len(self.texts), len(self.texts) + len(words))))
-        self.texts += texts
-        self.numbers = np.concatenate([self.numbers, numbers])
+        self.texts += [text[x:y] for x, y in zip([0, *upto], upto)]
+        self.numbers = np.concatenate([self.numbers, np.stack([*counts, np.zeros(len(words))], 1).astype(np.int64)])
+        self.links = np.concatenate([self.links, links])
 
     def documents(self, texts: list[str]) -> list[Fragment | None]:
         """None for a text whose bytes the tokens do not give back."""
         cut = [Encoder.pieces(" " + t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.clear()
-        new = [w for w in set().union(*cut) if w not in self.known]
+        new = list(set(chain.from_iterable(cut)).difference(self.known))
         for at in range(0, len(new), 20_000):
             self.learn(new[at : at + 20_000])
-        places = np.fromiter((self.known[w] for words in cut for w in words), np.int64, sum(map(len, cut)))
+        places = np.array(list(map(self.known.__getitem__, chain.from_iterable(cut))), np.int64)
         ends = np.append(0, np.cumsum([len(words) for words in cut]))
         sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(self.numbers[places], 0)])
         links = spread(self.links, self.numbers[:, 3], places)
@@ -264,7 +285,7 @@ class Words:
                 out.append(None)
                 continue
             some, times = np.unique(links[sums[ends[k], 3] : sums[ends[k + 1], 3]], return_counts=True)
-            text = joined([self.texts[i] for i in places[ends[k] : ends[k + 1]].tolist()])
+            text = joined(map(self.texts.__getitem__, places[ends[k] : ends[k + 1]].tolist()))
             out.append(replace(START, n_a=n_a, n_b=n_b, n_groups=n_groups, n_links=n_links, text=text, pairs=some, times=times))
         return out
 
