@@ -37,7 +37,7 @@ SHARE = 400_000
 #: Hash slices of a list of chunks; partitions take runs of slices.
 SLICES = 1 << 12
 #: The commonest chunks of a block have the smallest numbers: those compress best.
-COMMON = 1 << 12
+COMMON = 1 << 16
 #: Ids in a batch that goes back to Spark, about.
 OUT = 1 << 19
 
@@ -57,6 +57,25 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).reshape(-1).view(kind)
 
 
+def pack_numbers(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, small ones shortest: one byte below 192, else a byte of the upper part and two of the lower, or four where that is too little."""
+    upper = (x.astype(np.int64) - 192) >> 16
+    one = np.where(x < 192, x, np.minimum(192 + upper, 255)).astype(np.uint8)
+    two = (x[(one >= 192) & (one < 255)].astype(np.int64) - 192).astype(np.uint16)
+    parts = [pack(one), pack(two), pack(x[one == 255].astype(np.uint32))]
+    return np.array([len(p) for p in parts], np.uint32).tobytes() + b"".join(parts)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    ends = 12 + np.cumsum(np.frombuffer(data[:12], np.uint32).astype(np.int64))
+    one, two, four = (unpack(data[a:b], kind) for a, b, kind in zip([12, *ends[:-1]], ends, (np.uint8, np.uint16, np.uint32)))
+    out = one.astype(np.uint32)
+    middle, large = (one >= 192) & (one < 255), one == 255
+    out[middle] = ((out[middle] - 192) << 16) + two + np.uint32(192)
+    out[large] = four
+    return out
+
+
 def without_prefix(model: bytes) -> bytes:
     """The model without its own leading mark: it then segments a marked chunk as it stands."""
     from sentencepiece import sentencepiece_model_pb2
@@ -112,7 +131,7 @@ def _block(ids: pa.Array, texts: pa.Array, block: int) -> list[dict]:
     listed = words.take(pa.array(order))
     sizes = pc.binary_length(listed).to_numpy().astype(np.uint32)
     raw = b"".join(listed.to_pylist())
-    held = {"kind": "numbers", "block": block, "docs": ids.to_pylist(), "a": pack(number[codes].astype(np.uint32)), "b": pack(counts.astype(np.uint32)), "c": pack(place[common].astype(np.uint32)), "n": len(words)}
+    held = {"kind": "numbers", "block": block, "docs": ids.to_pylist(), "a": pack_numbers(number[codes].astype(np.uint32)), "b": pack(counts.astype(np.uint32)), "c": pack(place[common].astype(np.uint32)), "n": len(words)}
     asked = {"kind": "chunks", "block": block, "docs": None, "a": zstandard.ZstdCompressor(level=3).compress(raw), "b": pack(sizes), "c": pack(np.bincount(slices, minlength=SLICES).astype(np.uint32)), "n": len(words)}
     return [held, asked]
 
@@ -223,7 +242,7 @@ def _answer(model, kind: type, decoded: bool):
                 if len(counts) != row["n"]:
                     raise ValueError("chunks of a block have no ids")
                 common = unpack(row["c"], np.uint32)
-                picks = np.concatenate([common, np.arange(len(counts), dtype=np.uint32)])[unpack(row["a"], np.uint32)]
+                picks = np.concatenate([common, np.arange(len(counts), dtype=np.uint32)])[unpack_numbers(row["a"])]
                 sums = np.append(0, np.cumsum(counts[picks]))
                 upto = np.append(0, np.cumsum(chunks))
                 at = 0

@@ -72,3 +72,9 @@ def test_query_covers_whole_texts(spark, library):
         ids = library.encode(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_numbers_of_all_sizes_come_back():
+    x = np.array([0, 5, 191, 192, 193, 65_727, 65_728, 4_128_767, 4_128_768, 4_128_960, 5_000_000, (1 << 32) - 1], np.uint32)
+    assert pieces.unpack_numbers(pieces.pack_numbers(x)).tolist() == x.tolist()
+    assert pieces.unpack_numbers(pieces.pack_numbers(x[:0])).tolist() == []
