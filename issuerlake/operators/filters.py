@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import account_level, norm_code, strip
 from issuerlake.functions.text import UNKNOWN_YEAR
-from issuerlake.operators.ordering import down
+from issuerlake.operators.ordering import down, ties
 
 # Years that are too old to collect.
 _OLD_YEAR = r"(19\d\d|200\d|201\d|2020)"
@@ -66,7 +66,7 @@ def missing_rates(
         out = out.where(F.col(date) >= F.lit(cutoff))
     if dates is not None:
         out = out.join(dates.select(date).distinct(), date, "left_semi")
-    return out.orderBy(down(date))
+    return out.orderBy(down(date), *ties(out, [date]))
 
 
 def search_rows(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import blank_to_null, digits, parse_decimal, strip
-from issuerlake.operators.ordering import up
+from issuerlake.operators.ordering import ties, up
 from issuerlake.operators.tables import last_update_wins
 from issuerlake.operators.windows import dedupe
 
@@ -40,7 +40,8 @@ def active_portfolio(instruments: DataFrame, issuers: DataFrame, status: str = "
     """JOIN-1: active instruments with issuer attributes, by maturity."""
     side = issuers.select(*_present(issuers, ["cnpj", "grupo_economico", "setor", "tipo_capital"]))
     out = instruments.where(F.col("status") == status).join(side, "cnpj")
-    return out.select(*_present(out, PORTFOLIO_COLUMNS)).orderBy(up("data_vencimento"))
+    rows = out.select(*_present(out, PORTFOLIO_COLUMNS))
+    return rows.orderBy(up("data_vencimento"), *ties(rows, ["data_vencimento"]))
 
 
 def upcoming_payments(
@@ -53,7 +54,8 @@ def upcoming_payments(
         .join(issuers.select("cnpj", F.col("nome").alias("emissor"), "grupo_economico"), "cnpj")
         .withColumn("dias_para_evento", F.datediff("data_evento", as_of))
     )
-    return out.select(*_present(out, PAYMENT_COLUMNS)).orderBy(up("data_evento"))
+    rows = out.select(*_present(out, PAYMENT_COLUMNS))
+    return rows.orderBy(up("data_evento"), *ties(rows, ["data_evento"]))
 
 
 def issuer_instruments(issuers: DataFrame, instruments: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import ColumnOrName, as_column
@@ -31,3 +31,12 @@ def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     for key in keys:
         condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
     return condition
+
+
+# Columns of natural keys: they break ties, so that a range sort can split one hot date over tasks.
+KEY_COLUMNS = ["cnpj", "ticker_deb", "data_evento", "evento", "data_base", "data_referencia", "hash_md5", "id"]
+
+
+def ties(df: DataFrame, named: Sequence[str]) -> list[Column]:
+    """The key columns a frame has beyond those it is sorted by already, upward."""
+    return [up(F.col(c)) for c in KEY_COLUMNS if c in df.columns and c not in named]

@@ -7,14 +7,15 @@ so a key holding most of the data does not gather in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import digits, strip
 from issuerlake.functions.display import fold, join_parts
-from issuerlake.operators.ordering import Order, down, order_columns, up
+from issuerlake.operators.ordering import Order, down, order_columns, ties, up
+from issuerlake.session import ensure_checkpoint_dir
 
 # What each kind of match adds to the score of an option.
 EXACT = {"primary": 120, "value": 115, "secondary": 105}
@@ -24,9 +25,26 @@ SAME_KIND, NO_QUERY = 8, 10
 KIND_OF_MODE = {"asset": "ativo", "issuer": "emissor"}
 
 
+#: Ranks from which Spark plans no group limit (its default threshold).
+UNLIMITED = 1000
+#: Shares a key is ranked in first, from UNLIMITED on.
+SHARES = 64
+
+
 def top_rows(df: DataFrame, keys: Sequence[str], order: Order, n: int, rank: str | None = None) -> DataFrame:
+    """First ``n`` rows of each key, numbered in ``rank`` if named.
+
+    Below UNLIMITED Spark ranks in the map tasks and again after the shuffle. From there
+    on the same is written out: each of a key's SHARES (by input partition) is ranked and
+    cut to ``n`` in a task of its own, then what is left of the key is ranked.
+    """
     name = rank or "_rank"
-    window = Window.partitionBy(*keys).orderBy(*order_columns(order))
+    ordered = order_columns(order)
+    if n >= UNLIMITED:
+        shares = df.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(SHARES)))
+        place = F.row_number().over(Window.partitionBy(*keys, "_share").orderBy(*ordered))
+        df = shares.withColumn("_place", place).where(F.col("_place") <= n).drop("_place", "_share")
+    window = Window.partitionBy(*keys).orderBy(*ordered)
     out = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
     return out if rank else out.drop(name)
 
@@ -55,6 +73,49 @@ def page(df: DataFrame, order: Order, offset: int = 0, limit: int = 10) -> DataF
     return df.orderBy(*order_columns(order)).offset(offset).limit(limit)
 
 
+def _beyond(c: str, way: Callable, value: object) -> Column:
+    """Whether a column comes after a value in its direction, nulls last going up and first going down."""
+    if way is up:
+        return F.lit(False) if value is None else (F.col(c) > F.lit(value)) | F.col(c).isNull()
+    return F.col(c).isNotNull() if value is None else F.col(c) < F.lit(value)
+
+
+def page_after(df: DataFrame, order: Sequence[tuple[str, Callable]], after: Sequence[object] | None = None, limit: int = 10) -> DataFrame:
+    """WIN-3 by key: the ``limit`` rows that follow the row with the values ``after`` (the first page without).
+
+    ``order`` names columns with their direction, ``up`` or ``down``, and must break
+    every tie. However deep the page, a task keeps ``limit`` rows.
+    """
+    if after is not None:
+        if len(after) != len(order):
+            raise ValueError("after has a value for each column of the order")
+        later, same = F.lit(False), F.lit(True)
+        for (c, way), value in zip(order, after):
+            later = later | (same & F.coalesce(_beyond(c, way, value), F.lit(False)))
+            same = same & F.col(c).eqNullSafe(F.lit(value))
+        df = df.where(later)
+    return df.orderBy(*[way(c) for c, way in order]).limit(clamp(0, limit)[1])
+
+
+def deep_page(df: DataFrame, order: Order, offset: int, limit: int = 10) -> DataFrame:
+    """WIN-3 by number, at any depth: no task and no driver holds ``offset + limit`` rows.
+
+    The frame is sorted over all tasks and checkpointed, partitions are counted (one
+    number each), and only rows of the partitions the page overlaps are kept.
+    """
+    offset, limit = clamp(offset, limit)
+    ensure_checkpoint_dir(df.sparkSession)
+    placed = df.orderBy(*order_columns(order)).checkpoint().select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    counts = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    inside, before = F.lit(False), 0
+    for part in sorted(counts):
+        low, high = max(offset - before, 0), min(offset + limit - before, counts[part])
+        if low < high:
+            inside = inside | ((F.col("_part") == part) & F.col("_id").between(F.lit((part << 33) + low), F.lit((part << 33) + high - 1)))
+        before += counts[part]
+    return placed.where(inside).drop("_part", "_id").orderBy(*order_columns(order))
+
+
 def page_info(df: DataFrame, offset: int = 0, limit: int = 10) -> DataFrame:
     """WIN-3: total, offset, limit and whether rows follow the page."""
     offset, limit = clamp(offset, limit)
@@ -197,5 +258,6 @@ LISTINGS = {
 
 
 def order_listing(df: DataFrame, listing: str, tie: Sequence[str] = ()) -> DataFrame:
-    """SRT-2: rows in the order of a named listing; ``tie`` columns follow upward."""
-    return df.orderBy(*[way(c) for c, way in LISTINGS[listing]], *[up(c) for c in tie])
+    """SRT-2: rows in the order of a named listing; ``tie`` columns follow upward, then those of the natural keys it has."""
+    named = [c for c, _ in LISTINGS[listing]]
+    return df.orderBy(*[way(c) for c, way in LISTINGS[listing]], *[up(c) for c in tie], *ties(df, [*named, *tie]))

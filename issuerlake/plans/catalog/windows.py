@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from issuerlake.operators import windows as X
@@ -46,6 +48,31 @@ def _(t):
     return X.page(t.events, [down("ts"), up("event_id")], 50, 25).select("event_id", "user_id", "value")
 
 
+@query("history_after", """
+select event_id, user_id, value from events where ts < timestamp '2024-01-15 00:00:00' or (ts = timestamp '2024-01-15 00:00:00' and event_id > 500) order by ts desc, event_id limit 25
+""")
+def _(t):
+    after = [datetime(2024, 1, 15), 500]
+    return X.page_after(t.events, [("ts", down), ("event_id", up)], after, 25).select("event_id", "user_id", "value")
+
+
+@query("deep_history_page", """
+select l_orderkey, l_linenumber, l_partkey, l_extendedprice from lineitem order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey limit 20 offset 4000
+""")
+def _(t):
+    order = [down("l_extendedprice"), up("l_orderkey"), up("l_linenumber"), up("l_partkey")]
+    return X.deep_page(t.lineitem, order, 4000, 20).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
+@query("many_top_lines", """
+select l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_partkey, cast(rn as integer) as position from (select *, row_number() over (partition by l_returnflag, l_linestatus
+  order by l_shipdate desc, l_orderkey, l_linenumber, l_partkey, l_extendedprice) as rn from lineitem) where rn <= 1500
+""")
+def _(t):
+    order = [down("l_shipdate"), up("l_orderkey"), up("l_linenumber"), up("l_partkey"), up("l_extendedprice")]
+    return X.top_rows(t.lineitem, ["l_returnflag", "l_linestatus"], order, 1500, rank="position").select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "position")
+
+
 @query("history_page_info", "select count(*) as total, 50::bigint as offset, 25::bigint as limit, 75 < count(*) as has_more from events".replace(" as offset", ' as "offset"').replace(" as limit", ' as "limit"'))
 def _(t):
     return X.page_info(t.events, 50, 25)

@@ -39,7 +39,8 @@ def test_plan_scales(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python", "Pandas"):
         assert bad not in plan
     # Pages of a document are numbered whole: a document is as large as one task's row anyway.
-    if not name.startswith("search_by") and name != "financial_pages":
+    # Spark plans no limit for 1,000 ranks or more: there the cut is a ranking of its own (tests/test_skew.py).
+    if not name.startswith("search_by") and name not in ("financial_pages", "many_top_lines"):
         # Every ranking is cut in the map tasks, before its shuffle.
         windows, limits = len(re.findall(r"\bWindow \[", plan)), len(re.findall("WindowGroupLimit", plan))
         assert limits >= windows

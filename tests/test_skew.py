@@ -47,3 +47,48 @@ def test_nested_children_come_in_bounded_parts(spark):
     parts = A.nest_children(hot(spark), ["k"], ["d", "id"], [], F.date_trunc("month", "d")).where("k = 0")
     sizes = [r.n_items for r in parts.select("n_items").collect()]
     assert len(sizes) > 200 and max(sizes) < ROWS // 100 and sum(sizes) == hot(spark).where("k = 0").count()
+
+
+def test_many_ranks_of_a_hot_key(spark):
+    """Beyond Spark's group limit a key is ranked in shares first; the second ranking gets at most n rows of each."""
+    df = hot(spark)
+    top = W.top_rows(df, ["k"], [down("v"), up("id")], 5000, rank="position")
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 2 and "_share" in plan
+    want = [r.id for r in df.where("k = 0").orderBy(F.desc("v"), "id").limit(5000).collect()]
+    got = top.where("k = 0").orderBy("position").collect()
+    assert [r.id for r in got] == want and [r.position for r in got] == list(range(1, 5001))
+    pages = W.page_per(df, ["k"], [down("id")], offset=4000, limit=1000).where("k = 0")
+    sorted_ids = [r.id for r in df.where("k = 0").orderBy(F.desc("id")).limit(5000).collect()]
+    assert [r.id for r in pages.orderBy("position").collect()] == sorted_ids[4000:]
+
+
+def test_deep_pages(spark):
+    df = spark.range(0, 1_200_000, 1, 8).select((1_200_000 - F.col("id")).alias("id"), (F.col("id") % 3).alias("v"))
+    assert [r.id for r in W.deep_page(df, [up("id")], 1_000_000, 5).collect()] == list(range(1_000_001, 1_000_006))
+    assert W.deep_page(df, [up("id")], 1_200_000, 5).count() == 0
+    assert [r.id for r in W.deep_page(df, [up("id")], 1_199_998, 50).collect()] == [1_199_999, 1_200_000]
+
+
+def test_pages_by_key_walk_the_whole_frame(spark):
+    """Page after page gives the sorted frame, nulls in their place."""
+    rows = [(1, "a"), (None, "b"), (2, None), (2, "c"), (1, None), (None, None), (3, "z")]
+    df = spark.createDataFrame(rows, "n int, t string")
+    for order in ([("n", up), ("t", down)], [("n", down), ("t", up)]):
+        want = [tuple(r) for r in df.orderBy(*[way(c) for c, way in order]).collect()]
+        got, after = [], None
+        while page := W.page_after(df, order, after, 2).collect():
+            got += [tuple(r) for r in page]
+            after = list(page[-1])
+        assert got == want
+    plan = W.page_after(df, [("n", up), ("t", up)], [1, "a"], 2)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=2" in plan
+
+
+def test_hot_dates_are_split_by_keys(spark):
+    from issuerlake.operators import filters, joins
+
+    df = spark.range(10).select(F.lit("2024-01-01").alias("data_referencia"), F.col("id").cast("string").alias("ticker_deb"), F.lit(None).cast("double").alias("taxa_indicativa"), F.lit(1.0).alias("pu_indicativo"))
+    assert [r.ticker_deb for r in filters.missing_rates(df).collect()] == sorted(str(i) for i in range(10))
+    plan = W.order_listing(df, "history")._jdf.queryExecution().analyzed().toString()
+    assert "ticker_deb" in plan.splitlines()[0] and joins.ties(df, ["data_referencia"])
