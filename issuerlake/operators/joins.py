@@ -90,38 +90,35 @@ def resolve_registry(
 
     An override wins and takes the first row of its code, or a made-up row where
     the code is not registered. Otherwise an active row comes before the first
-    one. The registry is cut to one row per key before it is joined.
+    one. The registry is read once and cut to one row per id and per code before it is joined.
     """
     wanted = ids.select(digits("cnpj").alias("cnpj")).where("cnpj <> ''").distinct()
     fields = ["CD_CVM", "CATEG_REG", "SIT", "SIT_REG"]
-    by_id = dedupe(
-        registry.select(
-            digits("CNPJ_CIA").alias("cnpj"), *fields, order,
-            F.when(active_in_registry(compat), 0).otherwise(1).alias("_idle"),
-        ),
-        ["cnpj"], order=["_idle", order],
-    ).select("cnpj", *fields)
-    if overrides is None:
-        return wanted.join(by_id, "cnpj").withColumn("matched_by", F.lit("cnpj"))
-
-    forced = overrides.select(digits("cnpj").alias("cnpj"), F.col("cod_cvm").cast("string").alias("_code"))
-    by_code = dedupe(
-        registry.select(strip("CD_CVM").alias("_code"), *fields, order), ["_code"], order=[order]
-    ).select("_code", F.struct(*fields).alias("_row"))
+    idle = F.when(active_in_registry(compat), 0).otherwise(1)
+    by_id = F.struct(F.lit("cnpj").alias("_kind"), digits("CNPJ_CIA").alias("_key"), idle.alias("_rank"))
+    by_code = F.struct(F.lit("code").alias("_kind"), strip("CD_CVM").alias("_key"), F.lit(0).alias("_rank"))
+    # A row is the candidate of its id and of its code; one ranking settles both.
+    candidates = F.array(by_id) if overrides is None else F.array(by_id, by_code)
+    tagged = registry.select(*fields, F.col(order).alias("_order"), F.inline(candidates)).where(F.col("_key").isNotNull())
+    best = dedupe(tagged, ["_kind", "_key"], order=["_rank", "_order"]).select("_kind", "_key", F.struct(*fields).alias("_row"))
+    forced, code = F.lit(False), F.lit(None).cast("string")
+    if overrides is not None:
+        corrected = overrides.select(digits("cnpj").alias("cnpj"), F.col("cod_cvm").cast("string").alias("_code"), F.lit(True).alias("_forced"))
+        wanted = wanted.join(corrected, "cnpj", "left")
+        forced, code = F.coalesce("_forced", F.lit(False)), F.col("_code")
+    asked = wanted.select(
+        "cnpj", forced.alias("_is_forced"), F.when(forced, "code").otherwise("cnpj").alias("_kind"), F.when(forced, code).otherwise(F.col("cnpj")).alias("_key")
+    )
     made_up = F.struct(
-        F.col("_code").alias("CD_CVM"),
+        F.col("_key").alias("CD_CVM"),
         F.lit("FORCED_OVERRIDE").alias("CATEG_REG"),
         F.lit(None).cast("string").alias("SIT"),
         F.lit(None).cast("string").alias("SIT_REG"),
     )
-    named = (
-        wanted.join(forced, "cnpj")
-        .join(by_code, "_code", "left")
-        .select("cnpj", F.coalesce("_row", made_up).alias("_row"))
-        .select("cnpj", "_row.*", F.lit("override").alias("matched_by"))
-    )
-    rest = wanted.join(forced, "cnpj", "left_anti").join(by_id, "cnpj").withColumn("matched_by", F.lit("cnpj"))
-    return named.unionByName(rest)
+    met = asked.join(best, ["_kind", "_key"], "left").where("_row is not null or _is_forced")
+    return met.select(
+        "cnpj", F.coalesce("_row", made_up).alias("_row"), F.when(F.col("_is_forced"), "override").otherwise("cnpj").alias("matched_by")
+    ).select("cnpj", "_row.*", "matched_by")
 
 
 def fill_issuer(
