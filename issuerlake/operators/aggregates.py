@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import ColumnOrName, as_column, strip
 from issuerlake.operators.ordering import Order, up
-from issuerlake.operators.windows import dedupe
+from issuerlake.operators.windows import dedupe, positions
 
 def portfolio_summary(df: DataFrame, volume: str = "volume_emissao", incentive: str = "lei_incentivo") -> DataFrame:
     """AGG-1: operations, total of finite volumes, incentivised and other operations."""
@@ -213,3 +213,17 @@ def nest_children(
     fields = [*order, *[c for c in columns if c not in order]]
     items = F.sort_array(F.collect_list(F.struct(*fields)), asc=not descending)
     return df.groupBy(*keys, as_column(part).alias("part")).agg(items.alias(name), F.count(F.lit(1)).alias("n_items"))
+
+
+def nest_blocks(
+    df: DataFrame, keys: Sequence[str], order: Order, columns: Sequence[str], size: int = 1000, name: str = "items"
+) -> DataFrame:
+    """AGG-17 in blocks of ``size`` rows: child rows of each key as sorted arrays, one row per key and block (``part``, from 0).
+
+    No array is longer than ``size``, whatever the key or the dates of its rows; each
+    entry carries its ``position`` in the key.
+    """
+    placed = positions(df.select(*dict.fromkeys([*keys, *columns])), keys, order)
+    items = F.sort_array(F.collect_list(F.struct("position", *columns)))
+    block = F.floor(F.col("position") / size).cast("int")
+    return placed.groupBy(*keys, block.alias("part")).agg(items.alias(name), F.count(F.lit(1)).alias("n_items"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from issuerlake.functions.cleaning import digits, strip
 from issuerlake.functions.display import fold, join_parts
-from issuerlake.operators.ordering import Order, down, order_columns, ties, up
+from issuerlake.operators.ordering import Order, down, null_safe, order_columns, ties, up
 from issuerlake.session import ensure_checkpoint_dir
 
 # What each kind of match adds to the score of an option.
@@ -116,6 +116,32 @@ def deep_page(df: DataFrame, order: Order, offset: int, limit: int = 10) -> Data
     return placed.where(inside).drop("_part", "_id").orderBy(*order_columns(order))
 
 
+def positions(df: DataFrame, keys: Sequence[str], order: Order, name: str = "position") -> DataFrame:
+    """Each row's place among the rows of its key, from 0, however many rows a key has.
+
+    The frame is sorted by key and order over all tasks and checkpointed, so a hot key
+    is spread over as many tasks as its rows need, if ``order`` breaks ties. A row's place is its number in
+    its partition, plus the rows of all partitions before, minus where its key begins.
+    What is joined to the rows has one row per key and partition; the driver gets a count per partition. Null keys are a key.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    numbered = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.orderBy(*[up(k) for k in keys], *order_columns(order)).checkpoint()
+    placed = placed.select("*", F.spark_partition_id().alias("_part"), numbered.alias("_at"))
+    before, offsets = 0, []
+    for row in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():
+        offsets.append((row["_part"], before))
+        before += row["n"]
+    first = placed.groupBy(*keys, "_part").agg(F.min("_at").alias("_at")).join(spark.createDataFrame(offsets, "_part int, _before long"), "_part")
+    begins = first.groupBy(*keys).agg(
+        F.min(F.col("_before") + F.col("_at")).alias("_begin"), F.collect_list(F.struct("_part", "_before")).alias("_parts")
+    )
+    shifts = begins.select(*keys, "_begin", F.inline("_parts")).select(*keys, "_part", (F.col("_before") - F.col("_begin")).alias("_shift"))
+    met = placed.alias("r").join(shifts.alias("s"), null_safe("r", "s", [*keys, "_part"]))
+    return met.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("_at") + F.col("_shift")).alias(name))
+
+
 def page_info(df: DataFrame, offset: int = 0, limit: int = 10) -> DataFrame:
     """WIN-3: total, offset, limit and whether rows follow the page."""
     offset, limit = clamp(offset, limit)

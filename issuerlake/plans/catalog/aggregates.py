@@ -185,3 +185,16 @@ def _(t):
     rows = X.nest_children(t.lineitem, ["l_orderkey"], ["l_shipdate", "l_linenumber"], [], F.year("l_shipdate"))
     shown = F.transform("items", lambda x: F.concat_ws("/", F.date_format(x["l_shipdate"], "yyyy-MM-dd"), x["l_linenumber"].cast("string")))
     return rows.withColumn("items", F.array_join(shown, ","))
+
+
+@query("nested_blocks", """
+with p as (select l_returnflag, strftime(l_shipdate, '%Y-%m-%d') as d, l_orderkey, l_linenumber, l_partkey,
+  row_number() over (partition by l_returnflag order by l_shipdate, l_orderkey, l_linenumber, l_partkey) - 1 as pos from lineitem)
+select l_returnflag, cast(pos // 1000 as integer) as part, count(*) as n_items,
+  md5(string_agg(concat(d, '/', l_orderkey, '/', l_linenumber, '/', l_partkey), ',' order by pos)) as items from p group by 1, 2
+""")
+def _(t):
+    names = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
+    rows = X.nest_blocks(t.lineitem, ["l_returnflag"], names, names, 1000)
+    shown = F.transform("items", lambda x: F.concat_ws("/", F.date_format(x["l_shipdate"], "yyyy-MM-dd"), *[x[c].cast("string") for c in names[1:]]))
+    return rows.withColumn("items", F.md5(F.array_join(shown, ",")))

@@ -92,3 +92,19 @@ def test_hot_dates_are_split_by_keys(spark):
     assert [r.ticker_deb for r in filters.missing_rates(df).collect()] == sorted(str(i) for i in range(10))
     plan = W.order_listing(df, "history")._jdf.queryExecution().analyzed().toString()
     assert "ticker_deb" in plan.splitlines()[0] and joins.ties(df, ["data_referencia"])
+
+
+def test_blocks_of_a_hot_key_and_a_hot_year(spark):
+    """Positions are counted over all tasks: no array is longer than asked, though two thirds of the rows have one key and one date."""
+    df = hot(spark).withColumn("d", F.when(F.col("k") == 0, F.lit("2010-05-05").cast("date")).otherwise(F.col("d")))
+    blocks = A.nest_blocks(df, ["k"], ["d", "id"], ["d", "id"], 500).where("k = 0").orderBy("part").collect()
+    total = df.where("k = 0").count()
+    assert [b.n_items for b in blocks] == [500] * (total // 500) + ([total % 500] if total % 500 else [])
+    assert [i.id for b in blocks for i in b["items"]] == [r.id for r in df.where("k = 0").orderBy("id").collect()]
+
+
+def test_positions_count_null_keys_and_empty_frames(spark):
+    rows = spark.createDataFrame([(None, 2), (None, 1), ("a", 5), ("a", None), ("b", 1)], "k string, v int")
+    got = {(r.k, r.v): r.position for r in W.positions(rows, ["k"], ["v"]).collect()}
+    assert got == {(None, 1): 0, (None, 2): 1, ("a", 5): 0, ("a", None): 1, ("b", 1): 0}
+    assert W.positions(rows.limit(0), ["k"], ["v"]).count() == 0
