@@ -26,7 +26,7 @@ SAMPLE = 4000
 SIZE = 4
 EPOCHS = 40
 DECAY = np.float32(1e-5)
-#: Shares of the sample's rows that an n-gram with a vector occurs in.
+#: An n-gram with a vector occurs in this share of one class's rows at least, and in this share of all rows at most.
 RARE, COMMON = 0.005, 0.06
 #: Times its usual odds that one class must have among a more common n-gram's rows.
 ODDS = 6.0
@@ -118,7 +118,8 @@ def fit(rows: list[tuple], balanced: bool = True, seed: int = 7) -> Model:
         per[classes.index(name), buckets] += 1
     seen, share = per.sum(axis=0), np.array([[sum(r[0] == c for r in rows) / len(rows)] for c in classes])
     odds = ((per + 0.5) / (seen - per + 0.5) * (1 - share) / share).max(axis=0)
-    useful = (seen >= max(2, RARE * len(rows))) & ((seen <= max(2, COMMON * len(rows))) | (odds >= ODDS))
+    often = (per >= np.maximum(2, RARE * share * len(rows))).any(axis=0)
+    useful = often & ((seen <= max(2, COMMON * len(rows))) | (odds >= ODDS))
     picked = [useful[b] for _, b, _ in rows]
     sizes = np.array([p.sum() for p in picked])
     kept = np.flatnonzero(sizes)
@@ -169,6 +170,7 @@ def fit(rows: list[tuple], balanced: bool = True, seed: int = 7) -> Model:
 def sample(labelled: DataFrame, docs: DataFrame, limit: int = SAMPLE) -> list[tuple]:
     """``(label, buckets, counts)`` of at most ``limit`` rows of ``labelled`` (doc_id, label), chosen by a hash of the id.
 
+    Of repeated rows of an id one counts, with the smallest label and the smallest text.
     What comes to the driver is bounded by ``limit`` rows of ``BUCKETS`` counts each.
     """
     few = labelled.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
@@ -183,7 +185,8 @@ def sample(labelled: DataFrame, docs: DataFrame, limit: int = SAMPLE) -> list[tu
             )
 
     kind = dict(labelled.dtypes)["label"]
-    picked = docs.join(F.broadcast(few), docs["doc_id"] == few["few_id"]).select("label", "text")  # at most `limit` ids
+    picked = docs.join(F.broadcast(few), docs["doc_id"] == few["few_id"])  # at most `limit` ids
+    picked = picked.groupBy("few_id").agg(F.first("label").alias("label"), F.min("text").alias("text")).select("label", "text")
     got = picked.mapInArrow(count, f"label {kind}, buckets binary, counts binary").toArrow()
     return [
         (label, np.frombuffer(b, np.int32), np.frombuffer(c, np.int32))
