@@ -113,14 +113,30 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = 10, shingle: in
     return materialize(places, "places"), windows
 
 
+def _key(docs: DataFrame) -> Column:
+    """What a row is known by: its doc_id, or its text where it has none."""
+    return F.coalesce(F.concat(F.lit("id "), docs["doc_id"].cast("string")), F.concat(F.lit("text "), F.sha2(docs["text"], 256)), F.lit("none"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` per row of ``docs``.
 
     Null and empty texts have no words and no hits; null or wordless items have no
     windows. Columns other than doc_id, text and item_id are ignored. Repeated rows of
-    one doc_id and text give the same result each. No items: nothing is contaminated.
+    one doc_id and text give the same result each; rows with a null doc_id are judged by their
+    texts. No items: nothing is contaminated.
     """
-    docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
+    found = _hits(docs.select(_key(docs).alias("doc_id"), "text"), items.select("item_id", "text"), window)
+    counted = docs.select("doc_id", count_words(F.col("text")).alias("n_words"), _key(docs).alias("key"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return counted.join(found, counted["key"] == found["hit_id"], "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+    )
+
+
+def _hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """``(hit_id, n_hit, items)`` of the documents with a hit."""
     places, windows = occurrences(docs, items, window)
     # Words hit: the length of the union of a document's intervals.
     starts = places.groupBy("doc_id", "start").agg(F.max(F.col("start") + F.col("size")).alias("stop"))
@@ -130,16 +146,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     pairs = places.select("doc_id", "window").distinct().join(windows.select("window", "item"), "window")
     pairs = pairs.select("doc_id", F.col("item").cast("string").alias("item")).distinct()
     named = pairs.groupBy("doc_id").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    found = hits.join(named, "doc_id").withColumnRenamed("doc_id", "hit_id")
-    counted = docs.select("doc_id", count_words(F.col("text")).alias("n_words"))
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    return counted.join(found, counted["doc_id"] == found["hit_id"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-    )
+    return hits.join(named, "doc_id").withColumnRenamed("doc_id", "hit_id")
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """All columns of ``docs``, without the contaminated documents."""
-    found = contamination(docs, items, window).where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(found, docs["doc_id"] == found["hit_id"], "left_anti")
+    """All columns of ``docs``, without the contaminated documents. Rows with a null doc_id are judged by their texts."""
+    found = _hits(docs.select(_key(docs).alias("doc_id"), "text"), items.select("item_id", "text"), window)
+    return docs.join(found, _key(docs) == found["hit_id"], "left_anti")
