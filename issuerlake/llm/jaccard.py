@@ -26,6 +26,7 @@ and summed per pair.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,6 +118,15 @@ def _order(counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return levels, np.searchsorted(np.cumsum(share), np.arange(1, FRAGMENTS) / FRAGMENTS)
 
 
+#: Rows without a doc_id get ids from here on, by a hash of their text.
+UNNAMED = 1 << 62
+
+
+def _id(docs: DataFrame) -> Column:
+    """doc_id, or for a row without one an id of its text: rows with the same text have the same."""
+    return F.coalesce(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]).bitwiseAND(F.lit(UNNAMED - 1)).bitwiseOR(F.lit(UNNAMED)))
+
+
 def similar_sets(
     docs: DataFrame, words: int = 5, percent: int = 80, separators: np.ndarray = T.BLANKS, lower: bool = True
 ) -> DataFrame:
@@ -124,10 +134,18 @@ def similar_sets(
 
     Null and empty texts have an empty set and stand alone; a text of fewer words
     than ``words`` is one n-gram. Repeated rows of one ``doc_id`` give a row each.
+    Rows without a doc_id are linked like others (ids are below 2**62); their doc_id stays null,
+    and so does the component_id of a component of such rows only.
     Columns other than doc_id and text are ignored. An empty table gives no rows.
     """
+    found = _similar(docs.select(_id(docs).alias("doc_id"), "text"), words, percent, separators, lower)
+    named = [F.when(F.col(c) < UNNAMED, F.col(c)).alias(c) for c in ("doc_id", "component_id")]
+    return found.select(named[0], "n_shingles", named[1])
+
+
+def _similar(docs: DataFrame, words: int, percent: int, separators: np.ndarray, lower: bool) -> DataFrame:
+    """``similar_sets`` of documents that all have an id."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
     shared = Shared(spark, _order(rarity(docs, separators, lower), words))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +355,16 @@ def similar_sets(
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """All columns of ``docs``, without the documents that have a near copy with a smaller id."""
-    found = similar_sets(docs, words, percent)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    """All columns of ``docs``, without the documents that have a near copy with a smaller id.
+
+    One row of each kept doc_id stays. Rows without a doc_id are compared too, by their
+    texts; they give way to a near copy with an id. Columns may have any names.
+    """
+    own, kept_id, several = (f"{x}_{uuid.uuid4().hex}" for x in ("id", "kept", "several"))
+    keyed = docs.withColumn(own, _id(docs))
+    found = _similar(keyed.select(F.col(own).alias("doc_id"), "text"), words, percent, T.BLANKS, True)
+    found = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(kept_id)).agg((F.count(F.lit(1)) > 1).alias(several))
+    kept = keyed.join(materialize(found, "kept"), F.col(own) == F.col(kept_id))
+    # Only rows whose id occurs again are shuffled to be made one.
+    once, again = kept.where(~F.col(several)), kept.where(several).dropDuplicates([own])
+    return once.unionByName(again).select(*docs.columns)
