@@ -78,7 +78,7 @@ def _runs(doc: np.ndarray, anchor: np.ndarray) -> np.ndarray:
 
 def repeated_spans(docs: DataFrame, length: int = 13) -> DataFrame:
     """``(doc_id, start, stop)``: k-mers, as word ranges from ``start`` of the first to ``stop`` of the last, that also start in a smaller doc_id."""
-    docs = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    docs = docs.select("doc_id", "text").where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +212,8 @@ def without_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
 
     A window is ``length`` words `[^\\x20\\x09-\\x0D]+`. Null and empty texts have no
     words and keep the empty text. Shorter documents keep all. Rows that repeat a
-    doc_id count as one document and each give a row, cut alike. Other columns are
+    doc_id count as one document and each give a row, cut alike. Rows without a doc_id
+    are neither smaller nor larger than others: they keep all and cut none. Other columns are
     ignored; an empty table gives no rows. ``kept``: kept words joined by one space.
     """
     docs = docs.select("doc_id", "text")
