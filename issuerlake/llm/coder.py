@@ -25,7 +25,7 @@ BLOCK = 4096
 MAGIC = b"TIF1"
 _HEAD = 16
 #: Blocks that advance together.
-LANES = 1024
+LANES = 512
 
 #: Ids after which the order-0 distribution is renewed.
 _RENEW = 512
@@ -101,11 +101,9 @@ def encode(blocks: list[np.ndarray], vocabulary: int = 1 << 16) -> list[bytes]:
 
 def _encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     lanes, size = len(blocks), max(map(len, blocks))
-    ids = np.zeros((lanes, size), np.int64)
+    ids = np.zeros((lanes, size), np.uint32)
     for row, block in zip(ids, blocks):
         row[: len(block)] = block
-    steps = np.ascontiguousarray(ids.T)
-    bucket, inner = _bucket(steps)
     model = _Model(lanes, vocabulary)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     units, filled = np.zeros((lanes, 2 * size + 16), np.uint16), np.zeros(lanes, np.int64)
@@ -113,15 +111,18 @@ def _encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     offset = model.row * (model.buckets + 1)
     for step in range(size):
         if step % _RENEW == 0:
-            model.renew(ids[:, step - _RENEW : step] if step else None)
+            model.renew(ids[:, step - _RENEW : step].astype(np.int64) if step else None)
             unit, whole = _U(model.unit), _U(model.unit * _SHARES)
-        symbol = steps[step]
+            # Wide integers only for the ids until the next renewal.
+            steps = np.ascontiguousarray(ids[:, step : step + _RENEW].T).astype(np.int64)
+            buckets, inners = _bucket(steps)
+        symbol, bucket, inner = (x[step % _RENEW] for x in (steps, buckets, inners))
         i, j, k, p, q, first, second = model.predict(before, earlier)
-        cell = offset + bucket[step]
+        cell = offset + bucket
         base, weight = model.flat[cell], model.flat[cell + 1]
         weight = weight - base
         own = symbol < _OWN
-        x = base * 64 + weight * inner[step]
+        x = base * 64 + weight * inner
         w = np.where(own, weight * 64, weight)
         third = _SHARES - first - second
         hit_2 = q == symbol
@@ -169,15 +170,15 @@ def _decode(coded: list[bytes]) -> list[np.ndarray]:
     vocabulary = struct.unpack_from("<I", coded[0], 12)[0]
     lanes, size = len(coded), max(n for n, _ in heads)
     longest = max(len(c) for c in coded)
-    units = np.zeros((lanes, (longest - _HEAD) // 2 + 8), np.uint64)
+    units = np.zeros((lanes, (longest - _HEAD) // 2 + 8), np.uint16)
     for row, c in zip(units, coded):
         u = np.frombuffer(c, ">u2", offset=_HEAD)
         row[: len(u)] = u
-    ids = np.zeros((lanes, size), np.int64)
+    ids = np.zeros((lanes, size), np.int32)
     model = _Model(lanes, vocabulary)
     low, span, code = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64), np.zeros(lanes, np.uint64)
     for k in range(4):
-        code = (code << _U(16)) | units[:, k]
+        code = (code << _U(16)) | units[:, k].astype(_U)
     taken = np.full(lanes, 4)
     before = earlier = np.zeros(lanes, np.int64)
     offset = model.row * (model.buckets + 1)
@@ -186,7 +187,7 @@ def _decode(coded: list[bytes]) -> list[np.ndarray]:
         if step % _RENEW == 0:
             if ids.min(initial=0) < 0 or ids.max(initial=0) >= _OWN + ((model.buckets - _OWN) << 6):
                 raise BlockError("a block's ids are out of range")
-            model.renew(ids[:, step - _RENEW : step] if step else None)
+            model.renew(ids[:, step - _RENEW : step].astype(np.int64) if step else None)
             unit, whole = _U(model.unit), _U(model.unit * _SHARES)
         i, j, k, p, q, first, second = model.predict(before, earlier)
         part = span // whole
@@ -223,7 +224,7 @@ def _decode(coded: list[bytes]) -> list[np.ndarray]:
             short = move[~settled[move]]
             if len(short):
                 span[short] = (~low[short] + _U(1)) & (_BOTTOM - _U(1))
-            code[move] = (code[move] << _U(16)) | units[move, np.minimum(taken[move], units.shape[1] - 1)]
+            code[move] = (code[move] << _U(16)) | units[move, np.minimum(taken[move], units.shape[1] - 1)].astype(_U)
             taken[move] += 1
             low[move] <<= _U(16)
             span[move] <<= _U(16)
