@@ -38,7 +38,7 @@ CLOSE = 1e-4
 #: Gain of a step, relative to the objective, below which no step helps any more: the targets are out of reach then.
 FLAT = 1e-13
 #: Weight of staying near 1 where targets are out of reach: small, so that the totals come as near as they can.
-STAY = 1e-9
+STAY = 1e-11
 #: Lengths of a step tried in one pass.
 LENGTHS = 2.0 ** -np.arange(10)
 
