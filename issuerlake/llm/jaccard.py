@@ -9,7 +9,11 @@ and summed per pair.
 * Rarity is counted over all words of all documents, in 2**17 hashed counters. An
   n-gram's place is (the summed logarithms of its words' counters, its hash): any
   total order gives right results. N-grams of rare words only, which no unrelated
-  document has, come first; frequent words and passages come last.
+  document has, come first; frequent words come last.
+* Passages of rare words that many documents share would come first too. N-grams found
+  in the prefixes of many documents are therefore put behind all others, and the
+  documents that have them get new prefixes. The set of such n-grams is joined, never
+  broadcast by hint, and may be any set: it only changes the order.
 * Equal sets are one class before any pair is formed.
 * Prefix n-grams of few documents give pairs outright, at most ``FEW`` for each. A
   pair must share more prefix n-grams than what lies beyond the prefixes can make up
@@ -49,6 +53,10 @@ FRAGMENTS = 4
 FEW = 16
 #: Documents of one block of the exhaustive round, about.
 BLOCK = 512
+#: How often frequent n-grams of prefixes are put at the end of the order. Any number gives the same links.
+DEMOTIONS = 3
+#: Prefix lengths that are read of a document to find its new prefix, before its whole set is.
+AHEAD = 3
 #: Rounds of the exhaustive comparison; each holds its share of the copied n-grams on disk.
 ROUNDS = 4
 #: What names a block.
@@ -127,6 +135,63 @@ def _id(docs: DataFrame) -> Column:
     return F.coalesce(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]).bitwiseAND(F.lit(UNNAMED - 1)).bitwiseOR(F.lit(UNNAMED)))
 
 
+def _take(n: int, percent: int) -> int:
+    """N-grams of the prefix of a set of n."""
+    return n - -(-percent * n // 100) + 1 if n else 0
+
+
+def _demoted(docs: DataFrame, reps: DataFrame, shared: Shared, words: int, percent: int, separators: np.ndarray, lower: bool) -> DataFrame:
+    """``reps`` (doc_id, n, prefix) with prefixes in the order where n-grams of the prefixes of many documents come last."""
+
+    def ordered(batches: Iterator[pa.RecordBatch], ahead: int | None) -> Iterator[pa.RecordBatch]:
+        """The first n-grams of each set in the order by place; all without ``ahead``."""
+        levels, _ = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, grams, place, bounds in _grams(batch.column(1), words, separators, lower, levels):
+                n, take, first = [], [], []
+                for g, at in _sets(grams, place, bounds):
+                    n.append(len(g))
+                    take.append(_take(len(g), percent))
+                    first.append(g[np.argsort(at, kind="stable")[: ahead * take[-1] if ahead else len(g)]])
+                lengths = np.concatenate([[0], np.cumsum([len(x) for x in first])]).astype(np.int32)
+                flat = np.concatenate(first) if first else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[row : row + len(n)], pa.int64()), pa.array(n, pa.int64()), pa.array(take, pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(T.as_long(flat)))],
+                    ["doc_id", "n", "take", "grams"],
+                )
+
+    def renewed(asked: DataFrame, often: DataFrame, ahead: int | None) -> DataFrame:
+        """New prefixes of the sets ``asked`` for (doc_id, n); ``open`` where too little was read."""
+        texts = docs.join(asked.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+        read = texts.mapInArrow(lambda x: ordered(x, ahead), "doc_id long, n long, take int, grams array<long>")
+        read = materialize(read.join(asked, ["doc_id", "n"], "left_semi").dropDuplicates(["doc_id", "n"]), "ordered")
+        met = read.select("doc_id", "n", F.explode("grams").alias("gram")).join(often, "gram")
+        met = met.groupBy("doc_id", "n").agg(F.collect_list("gram").alias("late"))
+        late = F.coalesce("late", F.array().cast("array<long>"))
+        both = read.join(met, ["doc_id", "n"], "left").withColumn("early", F.array_except("grams", late))
+        # array_except and array_intersect keep the order of their first array.
+        prefix = F.slice(F.concat("early", F.array_intersect("grams", late)), F.lit(1), F.col("take"))
+        wanting = (F.size("early") < F.col("take")) & (F.size("grams") < F.col("n"))
+        return materialize(both.select("doc_id", "n", prefix.alias("prefix"), wanting.alias("open")), "renewed")
+
+    often = None
+    for _ in range(DEMOTIONS):
+        posts = reps.select("doc_id", "n", F.explode("prefix").alias("gram"))
+        more = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(f"m > {FEW}").select("gram")
+        more = materialize(more if often is None else more.join(often, "gram", "left_anti"), "often")
+        if more.isEmpty():
+            break
+        often = more if often is None else often.unionByName(more)
+        asked = materialize(posts.join(more, "gram", "left_semi").select("doc_id", "n").distinct(), "asked")
+        new = renewed(asked, often, AHEAD)
+        whole = renewed(new.where("open").select("doc_id", "n"), often, None)
+        new = new.where("not open").unionByName(whole).drop("open")
+        reps = materialize(reps.join(asked, ["doc_id", "n"], "left_anti").unionByName(new), "prefixes")
+    return reps
+
+
 def similar_sets(
     docs: DataFrame, words: int = 5, percent: int = 80, separators: np.ndarray = T.BLANKS, lower: bool = True
 ) -> DataFrame:
@@ -157,8 +222,7 @@ def _similar(docs: DataFrame, words: int, percent: int, separators: np.ndarray,
                 n, one, two = np.zeros(size, np.int64), np.zeros(size, np.uint64), np.zeros(size, np.uint64)
                 for i, (g, at) in enumerate(_sets(grams, place, bounds)):
                     n[i] = len(g)
-                    take = len(g) - -(-percent * len(g) // 100) + 1 if len(g) else 0
-                    prefix.append(g[np.argsort(at, kind="stable")[:take]])
+                    prefix.append(g[np.argsort(at, kind="stable")[: _take(len(g), percent)]])
                     one[i], two[i] = g.sum(), T.mix(g ^ np.uint64(0x5851F42D4C957F2D)).sum()
                 lengths = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                 flat = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
@@ -172,7 +236,8 @@ def _similar(docs: DataFrame, words: int, percent: int, separators: np.ndarray,
     classes = sets.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
     members = sets.select("doc_id", "n", "one", "two").join(classes, ["n", "one", "two"], "left")
     ranked = Window.partitionBy("n", "one", "two").orderBy("doc_id")
-    reps = sets.where("n > 0").withColumn("k", F.row_number().over(ranked)).where("k = 1")
+    reps = sets.where("n > 0").withColumn("k", F.row_number().over(ranked)).where("k = 1").select("doc_id", "n", "prefix")
+    reps = _demoted(docs, reps, shared, words, percent, separators, lower)
     posts = reps.select("doc_id", "n", F.posexplode("prefix").alias("i", "gram"))
     several = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "n", "i")).alias("centre")).where("m > 1")
     often = F.count(F.when(F.col("m") > FEW, 1)).over(Window.partitionBy("doc_id"))
@@ -265,12 +330,14 @@ def _similar(docs: DataFrame, words: int, percent: int, separators: np.ndarray,
     met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.block") <= F.col("y.block")) & alike)
     met = met.select("x.gram", F.col("x.block").alias("one"), F.col("y.block").alias("two"), F.col("x.low").alias("xl"), F.col("x.high").alias("xh"), F.col("y.low").alias("yl"), F.col("y.high").alias("yh"))
     # Of two blocks, the documents that have one of the n-grams in common, at a length that the other block has too.
-    met = met.join(placed, "gram").where((F.col("block") == F.col("one")) | (F.col("block") == F.col("two")))
-    side = (F.col("block") != F.col("one")).cast("int")
+    ends = F.array(F.struct(F.lit(0).alias("side"), F.col("one").alias("block")), F.struct(F.lit(1).alias("side"), F.col("two").alias("block")))
+    met = met.withColumn("end", F.explode(F.when(F.col("one") == F.col("two"), F.slice(ends, 1, 1)).otherwise(ends)))
+    met = met.withColumn("block", F.col("end.block")).withColumn("side", F.col("end.side")).drop("end").join(placed, ["gram", "block"])
+    side = F.col("side")
     low, high = F.when(side == 0, F.col("yl")).otherwise(F.col("xl")), F.when(side == 0, F.col("yh")).otherwise(F.col("xh"))
     met = met.where((100 * F.col("n") >= percent * low) & (100 * high >= percent * F.col("n")))
     asked = met.select(
-        F.xxhash64("one", "two").alias("task"), *(F.col(f"{block}.{part}").alias(f"{block}_{part}") for block in ("one", "two") for part in PARTS), side.alias("side"), "d", "n", "c",
+        F.xxhash64("one", "two").alias("task"), *(F.col(f"{block}.{part}").alias(f"{block}_{part}") for block in ("one", "two") for part in PARTS), "side", "d", "n", "c",
     ).distinct()
     # One document, or one component, has nothing to be compared with.
     key = [f"{block}_{part}" for block in ("one", "two") for part in PARTS]
