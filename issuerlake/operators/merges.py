@@ -74,49 +74,55 @@ def _turn_v1() -> Column:
 
 
 def _consolidate(
-    accounts: DataFrame, turn: Column, label_of_last: bool, keys: Sequence[str], sources: DataFrame | None
+    accounts: DataFrame, turn: Column, label_of_last: bool, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Whole statements by turn: the last source stays, for cash flow the first one.
 
-    ``rank() = 1`` keeps every account of the winning source; it is cut down in
-    the map tasks, so losing sources are not shuffled. Labels come from an
-    aggregate over source columns alone.
+    One aggregate over one scan settles, in the map tasks first, which source and row each
+    account would come from and which source labels it. An account whose best source is not
+    that of its statement is one that the winning source lacks. Lists hold one row per
+    account of a period, however often a period's rows repeat.
     """
     keys = list(keys)
-
-    def turned(df: DataFrame) -> DataFrame:
-        out = df.withColumn("demonstracao", _statement(F.col("table"))).withColumn("_turn", turn)
-        return out.where(F.col("demonstracao").isNotNull() & F.col("_turn").isNotNull())
-
-    preferred = F.when(F.col("demonstracao") == FIRST_STAYS, F.col("_turn")).otherwise(-F.col("_turn"))
-    place = F.rank().over(Window.partitionBy(*keys, "demonstracao").orderBy(preferred))
-    winners = turned(accounts).withColumn("_place", place).where("_place = 1")
-    pick = F.max_by if label_of_last else F.min_by
-    seen = turned(sources if sources is not None else accounts).select(*keys, "doc_type", "_turn").distinct()
-    kinds = seen.groupBy(*keys).agg(pick("doc_type", "_turn").alias("tipo_doc"))
-    return winners.join(kinds, keys).select(
-        *keys, "tipo_doc", "demonstracao", "cd_conta", "ds_conta", "valor",
-        F.col("doc_type").alias("source_doc"), F.col("table").alias("source_table"), F.col("year").alias("source_year"),
+    turned = accounts.withColumn("demonstracao", _statement(F.col("table"))).withColumn("_turn", turn)
+    turned = turned.where(F.col("demonstracao").isNotNull() & F.col("_turn").isNotNull())
+    place = F.when(F.col("demonstracao") == FIRST_STAYS, -F.col("_turn")).otherwise(F.col("_turn")).alias("place")
+    later = [F.struct(*order).alias("order")] if order else []
+    pick = F.max if label_of_last else F.min
+    best = turned.groupBy(*keys, "demonstracao", "cd_conta").agg(
+        F.max(F.struct(place, *later, "ds_conta", "valor", "doc_type", "table", "year")).alias("_best"),
+        pick(F.struct("_turn", "doc_type")).alias("_label"),
+    )
+    statements = best.groupBy(*keys, "demonstracao").agg(
+        F.collect_list(F.struct("cd_conta", "_best")).alias("_rows"), F.max("_best.place").alias("_winner"), pick("_label").alias("_label")
+    ).withColumn("_rows", F.filter("_rows", lambda r: r["_best"]["place"] == F.col("_winner")))
+    periods = statements.groupBy(*keys).agg(
+        F.collect_list(F.struct("demonstracao", "_rows")).alias("_statements"), pick("_label")["doc_type"].alias("tipo_doc")
+    )
+    rows = periods.select(*keys, "tipo_doc", F.inline("_statements")).select(*keys, "tipo_doc", "demonstracao", F.inline("_rows"))
+    return rows.select(
+        *keys, "tipo_doc", "demonstracao", "cd_conta", "_best.ds_conta", "_best.valor",
+        F.col("_best.doc_type").alias("source_doc"), F.col("_best.table").alias("source_table"), F.col("_best.year").alias("source_year"),
     )
 
 
 def consolidate_v2(
-    accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref"), sources: DataFrame | None = None
+    accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref"), order: Sequence[str] = ()
 ) -> DataFrame:
     """MRG-2: years down, ITR before DFP, tables in list order.
 
     A later source replaces a whole statement; the first cash-flow statement
-    stays; the first source labels the period. ``sources`` may be the rows the
-    accounts were cut from: labels then need no de-duplication.
+    stays; the first source labels the period. Of repeated accounts of a source the
+    last one by ``order`` stays.
     """
-    return _consolidate(accounts, _turn_v2(), False, keys, sources)
+    return _consolidate(accounts, _turn_v2(), False, keys, order)
 
 
 def consolidate_v1(
-    accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref"), sources: DataFrame | None = None
+    accounts: DataFrame, keys: Sequence[str] = ("cod_cvm", "data_ref"), order: Sequence[str] = ()
 ) -> DataFrame:
     """MRG-3: DFP before ITR, tables by name, years up; the last source labels the period."""
-    return _consolidate(accounts, _turn_v1(), True, keys, sources)
+    return _consolidate(accounts, _turn_v1(), True, keys, order)
 
 
 def consolidate_rows(
@@ -125,7 +131,7 @@ def consolidate_rows(
     """MRG-1 and MRG-2 (generation 2) or MRG-3 (generation 1) in one plan over raw statement rows."""
     consolidate, default_depth = {1: (consolidate_v1, 2), 2: (consolidate_v2, 3)}[generation]
     depth = depth or default_depth
-    return consolidate(statement_accounts(rows, depth, order), sources=account_rows(rows, depth, order))
+    return consolidate(account_rows(rows, depth, order), order=order)
 
 
 def override_periods(base: DataFrame, manual: DataFrame, keys: Sequence[str] = ("cnpj", "data_ref")) -> DataFrame:
