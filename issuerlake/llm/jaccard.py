@@ -296,9 +296,12 @@ def _similar(docs: DataFrame, words: int, percent: int, separators: np.ndarray,
     def verified(pairs: DataFrame) -> DataFrame:
         left = cut.select(F.col("d").alias("a"), "fragment", F.col("grams").alias("ga"))
         right = cut.select(F.col("d").alias("b"), "fragment", F.col("grams").alias("gb"))
-        parts = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-            "a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common")
-        )
+        parts = None
+        # A fragment at a time: the n-grams sent for the pairs are a part of the whole, and gone before the next part.
+        for k in range(FRAGMENTS):
+            met = pairs.join(left.where(F.col("fragment") == k), "a").join(right.where(F.col("fragment") == k), ["b", "fragment"])
+            met = materialize(met.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common")), "common")
+            parts = met if parts is None else parts.unionByName(met)
         summed = parts.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
         return summed.where(enough(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b")
 
