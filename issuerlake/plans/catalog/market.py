@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from issuerlake.operators.merges import consolidate_price_rows
 from issuerlake.plans.catalog.base import query
+from issuerlake.session import ensure_checkpoint_dir
 from issuerlake.sources import market as X
 from issuerlake.sources import statements as S
 
@@ -213,4 +214,6 @@ def _(t):
     scope = F.when(F.col("l_suppkey") % 7 == 0, "con").otherwise("ind")
     stem = F.concat_ws("_", F.when(F.col("l_linestatus") == "O", "dfp").otherwise("itr"), F.lit("cia_aberta"), F.element_at(tables, F.col("l_linenumber")), scope, F.year("l_shipdate"))
     name = F.concat(F.lit("file:/a/"), F.col("l_suppkey") % 5, F.lit("/"), F.when((scope == "con") & (F.col("l_linenumber") <= 3), "leia").otherwise(stem), F.lit(".csv"))
-    return S.preferred_files(S.describe_files(t.lineitem.select(name.alias("path")).distinct()))
+    # The listing is written once: else its names would be parsed for every line that they are made of, not for every file.
+    ensure_checkpoint_dir(t.spark)
+    return S.preferred_files(S.describe_files(t.lineitem.select(name.alias("path")).distinct().checkpoint()))

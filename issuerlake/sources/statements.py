@@ -7,7 +7,7 @@ table keyed by file, says where its columns stand.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from issuerlake.sources.seeds import LATIN, file_position, text_schema
@@ -40,8 +40,9 @@ def describe_files(files: DataFrame, landed: bool = False, path: str = "path") -
 def preferred_files(described: DataFrame) -> DataFrame:
     """Consolidated files; individual ones only where a document type, table and year has no consolidated file."""
     key = ["doc_type", "table", "year"]
-    best = described.groupBy(*key).agg(F.min("scope").alias("scope"))  # "con" sorts before "ind"
-    return described.join(best, [*key, "scope"], "left_semi")
+    best = F.rank().over(Window.partitionBy(*key).orderBy("scope"))  # "con" sorts before "ind"
+    known = described.dropna(subset=[*key, "scope"])
+    return known.withColumn("_rank", best).where("_rank = 1").select(*key, "scope", *[c for c in described.columns if c not in (*key, "scope")])
 
 
 def statement_files(spark: SparkSession, path: str, landed: bool = False) -> list[str]:
