@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.llm.shared import materialize
+from issuerlake.llm.shared import materialize, spent
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,6 +23,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels = materialize(
         edges.groupBy(F.col("u").alias("id")).agg(F.least(F.min("u"), F.min("v")).alias("component")), "labels"
     )
+    last = labels
     while True:
         near = edges.join(labels, edges["v"] == labels["id"]).groupBy("u").agg(F.min("component").alias("near"))
         closer = labels.join(near, labels["id"] == near["u"], "left").select(
@@ -34,6 +35,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             "id", "was", F.least("next", "beyond").alias("component")
         )
         moved = materialize(moved, "labels")
-        labels = moved.select("id", "component")
+        spent(last, closer)
+        last, labels = moved, moved.select("id", "component")
         if moved.where(F.col("was") != F.col("component")).isEmpty():
-            return spark.createDataFrame([], labels.schema) if edges.isEmpty() else labels
+            spent(edges)
+            return labels

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from issuerlake.llm import text as T
 from issuerlake.llm.components import components
-from issuerlake.llm.shared import Shared, materialize
+from issuerlake.llm.shared import Shared, materialize, spent
 
 #: Counters of the rarity table: a table of 1 MB, whatever the input.
 COUNTERS = 1 << 17
@@ -59,6 +60,8 @@ DEMOTIONS = 3
 AHEAD = 3
 #: Rounds of the exhaustive comparison; each holds its share of the copied n-grams on disk.
 ROUNDS = 4
+#: Shares of the prefix n-grams that are matched one after another; each is on disk alone.
+SHARES = 2
 #: What names a block.
 PARTS = ("family", "kind", "salt")
 
@@ -141,7 +144,7 @@ def _take(n: int, percent: int) -> int:
 
 
 def _demoted(docs: DataFrame, reps: DataFrame, shared: Shared, words: int, percent: int, separators: np.ndarray, lower: bool) -> DataFrame:
-    """``reps`` (doc_id, n, prefix) with prefixes in the order where n-grams of the prefixes of many documents come last."""
+    """``reps`` (doc_id, n, prefix; written, and removed here when changed) with prefixes in the order where n-grams of the prefixes of many documents come last."""
 
     def ordered(batches: Iterator[pa.RecordBatch], ahead: int | None) -> Iterator[pa.RecordBatch]:
         """The first n-grams of each set in the order by place; all without ``ahead``."""
@@ -174,21 +177,26 @@ def _demoted(docs: DataFrame, reps: DataFrame, shared: Shared, words: int, perce
         # array_except and array_intersect keep the order of their first array.
         prefix = F.slice(F.concat("early", F.array_intersect("grams", late)), F.lit(1), F.col("take"))
         wanting = (F.size("early") < F.col("take")) & (F.size("grams") < F.col("n"))
-        return materialize(both.select("doc_id", "n", prefix.alias("prefix"), wanting.alias("open")), "renewed")
+        out = materialize(both.select("doc_id", "n", prefix.alias("prefix"), wanting.alias("open")), "renewed")
+        spent(read)
+        return out
 
-    often = None
+    often, found = None, []
     for _ in range(DEMOTIONS):
         posts = reps.select("doc_id", "n", F.explode("prefix").alias("gram"))
         more = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(f"m > {FEW}").select("gram")
         more = materialize(more if often is None else more.join(often, "gram", "left_anti"), "often")
+        found.append(more)
         if more.isEmpty():
             break
         often = more if often is None else often.unionByName(more)
         asked = materialize(posts.join(more, "gram", "left_semi").select("doc_id", "n").distinct(), "asked")
-        new = renewed(asked, often, AHEAD)
-        whole = renewed(new.where("open").select("doc_id", "n"), often, None)
-        new = new.where("not open").unionByName(whole).drop("open")
-        reps = materialize(reps.join(asked, ["doc_id", "n"], "left_anti").unionByName(new), "prefixes")
+        ahead = renewed(asked, often, AHEAD)
+        whole = renewed(ahead.where("open").select("doc_id", "n"), often, None)
+        new = ahead.where("not open").unionByName(whole).drop("open")
+        before, reps = reps, materialize(reps.join(asked, ["doc_id", "n"], "left_anti").unionByName(new), "prefixes")
+        spent(before, asked, ahead, whole)
+    spent(*found)
     return reps
 
 
@@ -234,14 +242,23 @@ def _similar(docs: DataFrame, words: int, percent: int, separators: np.ndarray,
 
     sets = materialize(docs.mapInArrow(first, "doc_id long, n long, one long, two long, prefix array<long>"), "sets")
     classes = sets.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
-    members = sets.select("doc_id", "n", "one", "two").join(classes, ["n", "one", "two"], "left")
+    members = sets.select("doc_id", "n", "one", "two").join(classes, ["n", "one", "two"], "left").select("doc_id", "n", "rep")
+    members = materialize(members, "members")
     ranked = Window.partitionBy("n", "one", "two").orderBy("doc_id")
     reps = sets.where("n > 0").withColumn("k", F.row_number().over(ranked)).where("k = 1").select("doc_id", "n", "prefix")
+    reps = materialize(reps, "prefixes")
+    spent(sets)
     reps = _demoted(docs, reps, shared, words, percent, separators, lower)
     posts = reps.select("doc_id", "n", F.posexplode("prefix").alias("i", "gram"))
-    several = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "n", "i")).alias("centre")).where("m > 1")
+    met = []
+    for share in range(SHARES):
+        some = posts.where(F.pmod("gram", F.lit(SHARES)) == share)
+        several = some.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "n", "i")).alias("centre")).where("m > 1")
+        met.append(materialize(some.join(several, "gram"), "met"))
+    spent(reps)
     often = F.count(F.when(F.col("m") > FEW, 1)).over(Window.partitionBy("doc_id"))
-    posts = materialize(posts.join(several, "gram").withColumn("often", often), "posts")
+    posts = materialize(reduce(DataFrame.unionByName, met).withColumn("often", often), "posts")
+    spent(*met)
 
     def enough(na: Column, nb: Column, common: Column) -> Column:
         return (100 + percent) * common >= percent * (na + nb)
@@ -294,18 +311,21 @@ def _similar(docs: DataFrame, words: int, percent: int, separators: np.ndarray,
     cut = materialize(texts.mapInArrow(segments, "d long, fragment int, grams array<long>"), "segments")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs that are links, written."""
         left = cut.select(F.col("d").alias("a"), "fragment", F.col("grams").alias("ga"))
         right = cut.select(F.col("d").alias("b"), "fragment", F.col("grams").alias("gb"))
-        parts = None
+        parts = []
         # A fragment at a time: the n-grams sent for the pairs are a part of the whole, and gone before the next part.
         for k in range(FRAGMENTS):
             met = pairs.join(left.where(F.col("fragment") == k), "a").join(right.where(F.col("fragment") == k), ["b", "fragment"])
-            met = materialize(met.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common")), "common")
-            parts = met if parts is None else parts.unionByName(met)
-        summed = parts.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-        return summed.where(enough(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b")
-
-    links = materialize(verified(pairs), "links")
+            parts.append(materialize(met.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common")), "common"))
+        summed = reduce(DataFrame.unionByName, parts).groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
+        out = materialize(summed.where(enough(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b"), "links")
+        spent(*parts)
+        return out
+
+    links = verified(pairs)
+    spent(pairs)
     named = components(links).select(F.col("id").alias("node"), "component")
 
     # N-grams of many documents in several components, in blocks of documents that share their most frequent one.

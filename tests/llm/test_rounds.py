@@ -47,3 +47,20 @@ def test_pairs_are_verified_by_fragment(spark, monkeypatch):
     got = jaccard.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
     assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i in range(10)}
     assert names.count("common") == jaccard.FRAGMENTS
+
+
+def test_near_copies_leave_no_spent_tables(spark, tmp_path, monkeypatch):
+    """Tables that nothing reads again are removed: prefixes are on disk once, not once for every round."""
+    from issuerlake.llm import shared
+
+    monkeypatch.setattr(shared, "folder", lambda spark: f"file://{tmp_path}")
+    monkeypatch.setattr(jaccard, "FEW", 2)
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base[:39] + [f"x{i % 6}"]) for i in range(12)] + [f"own{i} text of{i} its" for i in range(5)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = _spy(monkeypatch, jaccard)
+    got = {r.doc_id: r.component_id for r in jaccard.similar_sets(docs, 3, 90).collect()}
+    assert got == {i: 0 if i < 12 else i for i in range(19)}
+    assert names.count("prefixes") > 1 and names.count("met") == jaccard.SHARES
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert not left & {"sets", "prefixes", "ordered", "renewed", "often", "met", "pairs", "common", "edges"}
