@@ -64,3 +64,14 @@ def test_near_copies_leave_no_spent_tables(spark, tmp_path, monkeypatch):
     assert names.count("prefixes") > 1 and names.count("met") == jaccard.SHARES
     left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
     assert not left & {"sets", "prefixes", "ordered", "renewed", "often", "met", "pairs", "common", "edges"}
+
+
+def test_search_sends_a_share_of_the_shards_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} w{i % 3}") for i in range(40)], "doc_id long, text string")
+    asked = docs.where("doc_id < 9")
+    one = sorted(map(tuple, search.top_k(docs, asked, 3).collect()))
+    names = _spy(monkeypatch, search)
+    monkeypatch.setattr(search, "SHARD", 6)
+    monkeypatch.setattr(search, "ROUND", 1)
+    assert sorted(map(tuple, search.top_k(docs, asked, 3).collect())) == one and len(one) == 27
+    assert names.count("found") == 1 and names.count("part") > 2
