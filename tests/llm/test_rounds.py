@@ -75,3 +75,18 @@ def test_search_sends_a_share_of_the_shards_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(search, "ROUND", 1)
     assert sorted(map(tuple, search.top_k(docs, asked, 3).collect())) == one and len(one) == 27
     assert names.count("found") == 1 and names.count("part") > 2
+
+
+def test_blocks_of_a_shard_hold_like_documents():
+    """Two kinds of documents take turns by id: no block holds both, so a query of one kind opens none of the other's."""
+    import numpy as np
+
+    from issuerlake.llm import search as S
+
+    n = 4 * S.BLOCK
+    kinds = [(np.array([1, 2]), np.array([2, 1], np.int32)), (np.array([3, 4]), np.array([2, 1], np.int32))]
+    index = S.Index(np.arange(n)[::-1].copy(), np.full(n, 3), [kinds[i % 2] for i in range(n)], 3.0)
+    assert index.blocks == 4 and len(index.cell) - 1 == 8  # each of four words in two blocks
+    for k in (10, n):
+        ids, scores = index.search(np.array([1, 2]), np.ones(2), k)
+        assert ids.tolist() == list(range(1, n, 2))[:k] and len(set(scores)) == 1  # equal scores by id
