@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from issuerlake.llm import coder
-from issuerlake.llm.tokens import Encoder
+from issuerlake.llm.tokens import remembered
 
 #: The id after each document.
 END = 2
@@ -38,7 +39,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, par
     sent = spark.sparkContext.broadcast(model)  # one vocabulary file
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder = TaskContext.get().partitionId(), Encoder(sent.value)
+        part, encoder = TaskContext.get().partitionId(), remembered(sent.value)
         held, pieces = [], []  # ids not yet in a whole block; (doc_id, place, at, n) since the last block
         size = at = place = block = 0
         ready: list[tuple[np.ndarray, list]] = []
@@ -94,15 +95,40 @@ def _times(a: int, b: int) -> int:
     return out
 
 
+@lru_cache(maxsize=1)
+def _shifts() -> np.ndarray:
+    """x ** (8 * 2 ** k) for every bit k of a length."""
+    out = [1 << 23]  # x ** 8
+    while len(out) < 62:
+        out.append(_times(out[-1], out[-1]))
+    return np.array(out, np.int64)
+
+
+def _products(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """``_times`` of each pair."""
+    out = np.zeros(len(a), np.int64)
+    b = np.broadcast_to(b, a.shape).astype(np.int64)
+    for bit in range(31, -1, -1):
+        out ^= b * (a >> bit & 1)
+        b = (b >> 1) ^ (_REFLECTED * (b & 1))
+    return out
+
+
+def join_crcs(first: np.ndarray, second: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``join_crc`` of each of many."""
+    out, bit, left = np.asarray(first, np.int64), 0, np.asarray(lengths, np.int64)
+    while left.any():
+        odd = np.flatnonzero(left & 1)
+        if len(odd):
+            out = out.copy()
+            out[odd] = _products(out[odd], _shifts()[bit])
+        left, bit = left >> 1, bit + 1
+    return out ^ second
+
+
 def join_crc(first: int, second: int, length: int) -> int:
     """crc32 of two byte strings together, from that of each and the length of the second."""
-    shift, power = 1 << 31, 1 << 23  # 1, and x ** 8
-    while length:
-        if length & 1:
-            shift = _times(shift, power)
-        power = _times(power, power)
-        length >>= 1
-    return _times(shift, first) ^ second
+    return int(join_crcs(np.array([first]), np.array([second]), np.array([length]))[0])
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -130,12 +156,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            crc = []
-            for parts in batch.column(4).to_pylist():
-                whole = 0
-                for p in parts:
-                    whole = join_crc(whole, p["crc"], 4 * p["n"])
-                crc.append(whole)
+            parts = batch.column(4)
+            n, crc = (parts.flatten().field(x).to_numpy() for x in ("n", "crc"))
+            count = np.diff(parts.offsets.to_numpy())
+            begin = np.cumsum(count) - count
+            whole, at = crc[begin], 1
+            # The second pieces of all documents that have two, then the third, and so on.
+            while len(more := np.flatnonzero(count > at)):
+                next_ = begin[more] + at
+                whole[more] = join_crcs(whole[more], crc[next_], 4 * n[next_])
+                at += 1
+            crc = whole
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(crc, pa.int64())], ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     # A document has as many pieces as it fills blocks.
