@@ -45,7 +45,7 @@ _SLOTS_1, _SLOTS_2 = 1024, 2048
 _SHARES, _ZERO = 10, 20
 _BITS = _SHARES + _ZERO
 #: Bits of a place of the order-0 distribution that are searched; the others are looked up.
-_FINE = 10
+_FINE = 9
 _U = np.uint64
 _BOTTOM, _UNIT = _U(1 << 32), _U(32)
 
